@@ -33,10 +33,11 @@ def skip_bursts(
         .groupBy("user_id", F.unix_seconds("event_ts").alias("second"))
         .agg(skips().alias("n"))
     )
-    own = F.floor(F.col("second") / _SLICE)
-    near_end = F.pmod("second", F.lit(_SLICE)) >= _SLICE - seconds
+    within = F.pmod("second", F.lit(_SLICE))
+    own = F.col("second") - within
+    near_end = within >= _SLICE - seconds
     sliced = per_second.withColumn(
-        "slice", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own)))
+        "slice", F.explode(F.when(near_end, F.array(own, own + _SLICE)).otherwise(F.array(own)))
     )
     window = (
         Window.partitionBy("user_id", "slice").orderBy("second").rangeBetween(-seconds, 0)

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from listenlake.session import ensure_checkpoint_dir
+
 # Horizon in days, least history, 80 % normal quantile, decimals.
 HORIZON_DAYS = 7
 MIN_DAYS = 2
@@ -105,7 +107,9 @@ def forecast_fourier(daily: DataFrame, horizon: int = HORIZON_DAYS, pairs: int =
         angle = F.col("t") * F.lit(2.0 * k / 7.0) * F.pi()
         points = points.withColumns({f"sin{k}": F.sin(angle), f"cos{k}": F.cos(angle)})
         names += [f"sin{k}", f"cos{k}"]
-    rows = VectorAssembler(inputCols=names, outputCol="features").transform(points)
+    # One row per day, read again by every pass of the fit.
+    ensure_checkpoint_dir(daily.sparkSession)
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(points.checkpoint())
     history = rows.filter(F.col("y").isNotNull()).withColumn("label", F.col("y").cast("double"))
     if history.isEmpty():
         return _banded(points.withColumn("yhat", F.lit(None).cast("double")), [_SERIES]).drop(
@@ -161,13 +165,33 @@ def run_record(metrics: DataFrame, run_id: str, params: dict[str, str]) -> DataF
     )
 
 
-def peak_hour_forecast(silver_hourly: DataFrame) -> DataFrame:
+def fill_missing_days(daily: DataFrame, key: str) -> DataFrame:
+    """Give every series a row for each day between the first and the last day of all
+    series, 0 where it had none. Meant for a fixed small set of keys such as hours."""
+    everything = Window.partitionBy(_SERIES)
+    spans = (
+        daily.withColumn(_SERIES, F.lit("all"))
+        .select(
+            key,
+            F.min("ds").over(everything).alias("_first"),
+            F.max("ds").over(everything).alias("_last"),
+        )
+        .distinct()
+    )
+    days = spans.select(key, F.explode(F.sequence("_first", "_last")).alias("ds"))
+    return days.join(daily, [key, "ds"], "left").withColumn("y", F.coalesce("y", F.lit(0)))
+
+
+def peak_hour_forecast(hourly: DataFrame) -> DataFrame:
     """Busiest hour of the next day, from one daily series per hour of day.
 
-    ``silver_hourly`` is (hour, ds, y).  24 series, so the final choice is over 24 rows.
+    ``hourly`` is (hour, ds, y): at most 24 series with one row per calendar day.
     """
-    ahead = forecast_trend(silver_hourly, ["hour"], horizon=1).filter(F.col("y").isNull())
-    best = F.max(F.struct(F.round("yhat", 6).alias("yhat"), (-F.col("hour")).alias("h"), F.col("ds")))
-    return ahead.groupBy("ds").agg(best.alias("best")).select(
-        "ds", (-F.col("best.h")).alias("peak_hour"), F.col("best.yhat").alias("yhat")
+    filled = fill_missing_days(hourly, "hour")
+    ahead = forecast_trend(filled, ["hour"], horizon=1).filter(F.col("y").isNull())
+    best = F.max(F.struct(F.round("yhat", 6).alias("yhat"), (-F.col("hour")).alias("before")))
+    return (
+        ahead.groupBy("ds")
+        .agg(best.alias("best"))
+        .select("ds", (-F.col("best.before")).alias("peak_hour"), F.col("best.yhat").alias("yhat"))
     )

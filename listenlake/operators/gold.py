@@ -85,12 +85,22 @@ def churn_risk(silver: DataFrame, as_of: str | date | Column | None = None) -> D
 
 def country_stats(silver: DataFrame) -> DataFrame:
     """``top_device`` is the last device name in text order, as the mart defines it;
-    ``preferences.country_top_device`` gives the most frequent one."""
-    return silver.groupBy("country").agg(
-        plays().alias("total_plays"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.max("device_type").alias("top_device"),
+    ``preferences.country_top_device`` gives the most frequent one.
+
+    A maximum of texts would turn the whole aggregate into a sort of all events, so
+    it is taken over the distinct (country, device) pairs, and two hash aggregates
+    of two or three columns each meet in a join of one row per country.
+    """
+    totals = silver.groupBy("country").agg(
+        plays().alias("total_plays"), F.count_distinct("user_id").alias("unique_users")
+    )
+    devices = (
+        silver.select(F.col("country").alias("_country"), "device_type")
+        .distinct()
+        .groupBy("_country")
+        .agg(F.max("device_type").alias("top_device"))
     )
+    return totals.join(devices, F.col("country").eqNullSafe(F.col("_country"))).drop("_country")
 
 
 def peak_hours(silver: DataFrame) -> DataFrame:

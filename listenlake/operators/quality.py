@@ -112,31 +112,39 @@ def dq_report(df: DataFrame, rules: list[Rule] = SILVER_RULES) -> DataFrame:
     ``failures`` counts NULL rows for ``not_null``, repeated values for ``unique``
     and distinct foreign values for ``accepted_values``.
     """
-    single = _one_pass(df, [r for r in rules if not isinstance(r, Unique)])
-    found = single.groupBy("check", "column").agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("rows")).otherwise(1)).alias("failures"),
-        F.sum("rows").alias("failing_rows"),
+    found = _one_pass(df, [r for r in rules if not isinstance(r, Unique)]).select(
+        "check",
+        "column",
+        F.when(F.col("value").isNull(), F.col("rows")).otherwise(1).alias("failures"),
+        F.col("rows").alias("failing_rows"),
     )
     for rule in rules:
         if isinstance(rule, Unique):
             found = found.unionByName(
-                duplicate_values(df, rule.column).agg(
+                duplicate_values(df, rule.column).select(
                     F.lit(rule.check).alias("check"),
                     F.lit(rule.column).alias("column"),
-                    F.count(F.lit(1)).alias("failures"),
-                    F.sum("copies").alias("failing_rows"),
+                    F.lit(1).cast("bigint").alias("failures"),
+                    F.col("copies").alias("failing_rows"),
                 )
             )
-    listed = df.sparkSession.createDataFrame(
-        [(r.check, r.column) for r in rules], "check string, column string"
-    )
-    failures = F.coalesce("failures", F.lit(0))
-    return listed.join(found, ["check", "column"], "left").select(
-        "check",
-        "column",
-        failures.alias("failures"),
-        F.coalesce("failing_rows", F.lit(0)).alias("failing_rows"),
-        (failures == 0).alias("passed"),
+    # One zero per rule keeps the rules that found nothing in the report.
+    none = F.lit(0).cast("bigint")
+    listed = [
+        F.struct(
+            F.lit(r.check).alias("check"),
+            F.lit(r.column).alias("column"),
+            none.alias("failures"),
+            none.alias("failing_rows"),
+        )
+        for r in rules
+    ]
+    zeros = df.sparkSession.range(1).select(F.inline(F.array(*listed)))
+    return (
+        found.unionByName(zeros)
+        .groupBy("check", "column")
+        .agg(F.sum("failures").alias("failures"), F.sum("failing_rows").alias("failing_rows"))
+        .withColumn("passed", F.col("failures") == 0)
     )
 
 

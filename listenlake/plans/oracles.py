@@ -180,13 +180,25 @@ _SILVER_RULES: list[tuple[str, str, list[str] | None]] = [
 ]
 
 
-def _forecast_ctes(key: str, horizon: int, source: str = "silver") -> str:
+def _forecast_ctes(key: str, horizon: int, fill: bool = False) -> str:
     """Trend plus weekday residual by plain aggregates and joins, per ``key``."""
-    return f"""
-daily AS (
+    seen = f"""
+seen AS (
   SELECT {key} AS k, CAST(event_ts AS DATE) AS ds, {_n("play")} AS y
-  FROM {source} GROUP BY 1, 2
-),
+  FROM silver GROUP BY 1, 2
+)"""
+    daily = """
+daily AS (SELECT * FROM seen)"""
+    if fill:
+        daily = """
+daily AS (
+  SELECT keys.k, days.ds, coalesce(s.y, 0) AS y
+  FROM (SELECT DISTINCT k FROM seen) AS keys
+  CROSS JOIN (SELECT CAST(unnest(generate_series((SELECT min(ds) FROM seen),
+    (SELECT max(ds) FROM seen), INTERVAL 1 DAY)) AS DATE) AS ds) AS days
+  LEFT JOIN seen s ON s.k = keys.k AND s.ds = days.ds
+)"""
+    return f"""{seen},{daily},
 span AS (
   SELECT k, min(ds) AS lo, max(ds) AS hi FROM daily GROUP BY k HAVING count(*) >= 2
 ),
@@ -497,7 +509,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY yhat DESC, hour) AS place
                   FROM (SELECT ds, k AS hour, round(yhat, 6) AS yhat FROM forecast
                         WHERE y IS NULL))
-            WHERE place = 1""", _forecast_ctes("hour(event_ts)", 1)),
+            WHERE place = 1""", _forecast_ctes("hour(event_ts)", 1, fill=True)),
         "forecast_table": _silver(
             f" SELECT ds, {_BANDS} FROM forecast WHERE y IS NULL", _forecast_ctes(_ALL, 7)
         ),

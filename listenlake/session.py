@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plan building records the Python call site of every expression otherwise.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

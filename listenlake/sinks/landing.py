@@ -13,8 +13,13 @@ def write_ndjson(
     records_per_file: int | None = None,
     mode: str = "append",
 ) -> None:
-    """One JSON object per line; NULL fields are left out."""
-    writer = df.write.mode(mode)
+    """One JSON object per line; NULL fields are left out.
+
+    With folders the rows are first gathered by folder, so that not every task
+    writes a small file into each of them; AQE splits a folder that is too large
+    for one task.
+    """
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if records_per_file:

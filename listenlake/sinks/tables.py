@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
@@ -68,17 +69,27 @@ def append_new_rows(df: DataFrame, table: str, day: str, keys: list[str]) -> Non
 
     A repeated row has the same day, so the existing side is reduced to the days of
     the incoming rows: the day list is one small aggregate, and Spark prunes the
-    table's partitions with it at run time.  NULL keys compare equal.
+    table's partitions with it at run time.  NULL keys compare equal.  The incoming
+    rows are used twice and kept (memory, then disk) until they are written; for an
+    empty table the comparison is left out.
     """
-    existing = df.sparkSession.table(table).select(day, *keys)
-    touched = existing.join(df.select(day).distinct(), day, "left_semi").alias("old")
-    fresh = df.alias("new")
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys],
-        F.col(f"new.{day}") == F.col(f"old.{day}"),
-    )
-    append_rows(_balanced(fresh.join(touched, same, "left_anti"), day), table)
+    spark = df.sparkSession
+    if spark.table(table).isEmpty():
+        append_rows(_balanced(df, day), table)
+        return
+    incoming = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        days = incoming.select(day).distinct()
+        touched = spark.table(table).select(day, *keys).join(days, day, "left_semi").alias("old")
+        same = reduce(
+            lambda a, b: a & b,
+            [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys],
+            F.col(f"new.{day}") == F.col(f"old.{day}"),
+        )
+        fresh = incoming.alias("new").join(touched, same, "left_anti")
+        append_rows(_balanced(fresh, day), table)
+    finally:
+        incoming.unpersist()
 
 
 def load_bronze(landing: DataFrame, table: str, once: bool = True) -> None:

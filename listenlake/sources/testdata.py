@@ -2,24 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from listenlake.schemas import EVENT_COLUMNS
+
+# The test tables' event types stand for view and purchase = play,
+# click = skip, signup = add_to_playlist, error = pause; every so many ids lack a field.
+_BRONZE_SQL = """
+SELECT
+  IF(e.event_id % 101 = 0, NULL, CAST(e.event_id AS STRING)) AS event_id,
+  IF(e.event_id % 103 = 0, NULL, CAST(c.c_custkey AS STRING)) AS user_id,
+  IF(e.event_id % 107 = 0, NULL, CAST(p.p_partkey AS STRING)) AS song_id,
+  p.p_brand AS artist_name,
+  p.p_name AS song_name,
+  CASE WHEN e.event_type IN ('view', 'purchase') THEN 'play'
+    WHEN e.event_type = 'click' THEN 'skip'
+    WHEN e.event_type = 'signup' THEN 'add_to_playlist'
+    WHEN e.event_type = 'error' THEN 'pause' END AS event_type,
+  ELT(CAST(e.event_id % 3 AS INT) + 1, 'mobile', 'desktop', 'web') AS device_type,
+  ELT(c.c_nationkey % 8 + 1, 'US', 'UK', 'CA', 'AU', 'IN', 'DE', 'VN', 'JP') AS country,
+  CASE WHEN e.event_id % 109 = 0 THEN NULL
+    WHEN e.event_id % 113 = 0 THEN 'not-a-timestamp'
+    ELSE DATE_FORMAT(e.ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END AS timestamp,
+  c.c_name AS username,
+  CAST(16 + c.c_custkey % 30 AS INT) AS age,
+  IF(c.c_custkey % 3 = 2, 'premium', 'free') AS subscription_type,
+  CAST(DATE_ADD(DATE'2021-01-01', CAST(c.c_custkey % 1000 AS INT)) AS STRING)
+    AS registration_date,
+  p.p_type AS genre,
+  CAST(180 + p.p_size AS INT) AS duration_seconds,
+  CAST(2000 + p.p_partkey % 25 AS INT) AS release_year,
+  CONCAT('Album ', CAST(p.p_partkey % 10 AS STRING)) AS album_name
+FROM (
+  SELECT event_id, event_type, ts,
+    CAST(GET_JSON_OBJECT(props, '$.k') AS BIGINT) AS part_key,
+    user_id * 10 + event_id % 10 AS cust_key
+  FROM {events}
+) e
+JOIN {part} p ON e.part_key = p.p_partkey
+JOIN {customer} c ON e.cust_key = c.c_custkey
+JOIN {nation} n ON c.c_nationkey = n.n_nationkey
+"""
+
+_schemas: dict[str, StructType] = {}
 
-from listenlake.schemas import COUNTRIES, EVENT_COLUMNS
 
-# How the test tables' event types stand for listening events.
-EVENT_TYPE_OF = {
-    "view": "play",
-    "purchase": "play",
-    "click": "skip",
-    "signup": "add_to_playlist",
-    "error": "pause",
-}
-DEVICES = ["mobile", "desktop", "web"]
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; its schema is read from the file once, not at every use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A small table kept in one row group is read by one task; hand its rows to all
+    cores. A scan that has enough tasks already stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def events_stream(
@@ -32,14 +74,6 @@ def events_stream(
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
-
-
-def _null_every(n: int, value: Column) -> Column:
-    return F.when(F.col("e.event_id") % n != 0, value)
-
-
 def bronze(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """17-column bronze events; pass ``events`` to use a stream in place of the table.
 
@@ -47,50 +81,15 @@ def bronze(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) ->
     when its measured size is below the threshold, and otherwise shuffles with
     AQE splitting the hot song and user keys.
     """
-    events = table(spark, sf_dir, "events") if events is None else events
-    keyed = events.select(
-        "event_id",
-        "event_type",
-        "ts",
-        F.get_json_object("props", "$.k").cast("bigint").alias("part_key"),
-        (F.col("user_id") * 10 + F.col("event_id") % 10).alias("cust_key"),
-    ).alias("e")
-    part = table(spark, sf_dir, "part").alias("p")
-    customer = table(spark, sf_dir, "customer").alias("c")
-    nation = table(spark, sf_dir, "nation").alias("n")
-    joined = (
-        keyed.join(part, F.col("e.part_key") == F.col("p.p_partkey"))
-        .join(customer, F.col("e.cust_key") == F.col("c.c_custkey"))
-        .join(nation, F.col("c.c_nationkey") == F.col("n.n_nationkey"))
+    if events is None:
+        events = spread(table(spark, sf_dir, "events"), "event_id")
+    return spark.sql(
+        _BRONZE_SQL,
+        events=events,
+        part=table(spark, sf_dir, "part"),
+        customer=table(spark, sf_dir, "customer"),
+        nation=table(spark, sf_dir, "nation"),
     )
-    kinds = F.create_map(*[F.lit(x) for pair in EVENT_TYPE_OF.items() for x in pair])
-    cust = F.col("c.c_custkey")
-    song = F.col("p.p_partkey")
-    iso = F.date_format("e.ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    columns = {
-        "event_id": _null_every(101, F.col("e.event_id").cast("string")),
-        "user_id": _null_every(103, cust.cast("string")),
-        "song_id": _null_every(107, song.cast("string")),
-        "artist_name": F.col("p.p_brand"),
-        "song_name": F.col("p.p_name"),
-        "event_type": F.element_at(kinds, F.col("e.event_type")),
-        "device_type": _pick(DEVICES, F.col("e.event_id") % 3),
-        "country": _pick(COUNTRIES, F.col("n.n_nationkey") % 8),
-        "timestamp": _null_every(
-            109, F.when(F.col("e.event_id") % 113 == 0, F.lit("not-a-timestamp")).otherwise(iso)
-        ),
-        "username": F.col("c.c_name"),
-        "age": (16 + cust % 30).cast("int"),
-        "subscription_type": F.when(cust % 3 == 2, "premium").otherwise("free"),
-        "registration_date": F.date_add(
-            F.lit("2021-01-01").cast("date"), (cust % 1000).cast("int")
-        ).cast("string"),
-        "genre": F.col("p.p_type"),
-        "duration_seconds": (180 + F.col("p.p_size")).cast("int"),
-        "release_year": (2000 + song % 25).cast("int"),
-        "album_name": F.concat(F.lit("Album "), (song % 10).cast("string")),
-    }
-    return joined.select(*[columns[name].alias(name) for name in EVENT_COLUMNS])
 
 
 def with_copies(bronze_events: DataFrame, mark: str | None = None) -> DataFrame:
