@@ -6,6 +6,8 @@ row per map task.  Exact distinct counts are planned by Spark on the pair
 (group, value) first, which spreads a hot group over all tasks.  Sorted marts add
 their grain as tie-break: a range sort cannot split equal keys, and a count such
 as ``plays`` has few distinct values.
+
+A mart with an ``m`` argument also runs over the totals of ``plans.rollups``.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listenlake.functions.measures import playlist_adds, plays, ratio2, skips
+from listenlake.functions.measures import EVENTS, Measures, ratio2
 from listenlake.functions.times import as_of_date, is_weekend, weekday
 
 SONG = ["song_id", "song_name", "artist_name"]
@@ -27,34 +29,34 @@ IDLE_DAYS = 7
 SKIP_RATE_LIMIT = 0.7
 
 
-def top_songs(silver: DataFrame) -> DataFrame:
+def top_songs(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     return (
         silver.groupBy(*SONG)
-        .agg(plays().alias("total_plays"), skips().alias("total_skips"))
+        .agg(m.plays().alias("total_plays"), m.skips().alias("total_skips"))
         .orderBy(F.desc("total_plays"), *SONG)
     )
 
 
-def user_engagement(silver: DataFrame) -> DataFrame:
+def user_engagement(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     day = F.date_trunc("day", "event_ts").alias("day")
     return (
         silver.groupBy("user_id", "device_type", "country", day)
         .agg(
-            plays().alias("plays"),
-            skips().alias("skips"),
-            playlist_adds().alias("playlist_adds"),
+            m.plays().alias("plays"),
+            m.skips().alias("skips"),
+            m.playlist_adds().alias("playlist_adds"),
         )
         .select("user_id", "device_type", "country", "plays", "skips", "playlist_adds", "day")
         .orderBy(F.desc("plays"), "user_id", "device_type", "country", "day")
     )
 
 
-def artist_performance(silver: DataFrame) -> DataFrame:
+def artist_performance(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     """``skip_rate`` here is skips per play and may exceed 1."""
     return silver.groupBy("artist_name").agg(
-        plays().alias("total_plays"),
-        skips().alias("total_skips"),
-        ratio2(skips(), plays()).alias("skip_rate"),
+        m.plays().alias("total_plays"),
+        m.skips().alias("total_skips"),
+        ratio2(m.skips(), m.plays()).alias("skip_rate"),
         F.count_distinct("user_id").alias("unique_listeners"),
     )
 
@@ -67,11 +69,13 @@ def churn_tier(days_inactive: Column, skip_rate: Column) -> Column:
     )
 
 
-def churn_risk(silver: DataFrame, as_of: str | date | Column | None = None) -> DataFrame:
+def churn_risk(
+    silver: DataFrame, as_of: str | date | Column | None = None, m: Measures = EVENTS
+) -> DataFrame:
     """``skip_rate`` here is skips per event of any type."""
     per_user = silver.groupBy("user_id").agg(
         F.to_date(F.max("event_ts")).alias("last_active_date"),
-        ratio2(skips(), F.count(F.lit(1))).alias("skip_rate"),
+        ratio2(m.skips(), m.events()).alias("skip_rate"),
     )
     idle = F.datediff(as_of_date(as_of), F.col("last_active_date"))
     return per_user.select(
@@ -83,7 +87,7 @@ def churn_risk(silver: DataFrame, as_of: str | date | Column | None = None) -> D
     )
 
 
-def country_stats(silver: DataFrame) -> DataFrame:
+def country_stats(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     """``top_device`` is the last device name in text order, as the mart defines it;
     ``preferences.country_top_device`` gives the most frequent one.
 
@@ -92,7 +96,7 @@ def country_stats(silver: DataFrame) -> DataFrame:
     of two or three columns each meet in a join of one row per country.
     """
     totals = silver.groupBy("country").agg(
-        plays().alias("total_plays"), F.count_distinct("user_id").alias("unique_users")
+        m.plays().alias("total_plays"), F.count_distinct("user_id").alias("unique_users")
     )
     devices = (
         silver.select(F.col("country").alias("_country"), "device_type")
@@ -103,22 +107,22 @@ def country_stats(silver: DataFrame) -> DataFrame:
     return totals.join(devices, F.col("country").eqNullSafe(F.col("_country"))).drop("_country")
 
 
-def peak_hours(silver: DataFrame) -> DataFrame:
+def peak_hours(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     return (
-        silver.filter(F.col("event_type") == "play")
+        silver.filter(m.has_plays())
         .groupBy("country", F.hour("event_ts").alias("hour"))
-        .agg(F.count(F.lit(1)).alias("total_events"))
+        .agg(m.plays().alias("total_events"))
         .orderBy("country", F.desc("total_events"), "hour")
     )
 
 
-def playlist_conversion(silver: DataFrame) -> DataFrame:
+def playlist_conversion(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     return (
         silver.groupBy(*SONG)
         .agg(
-            plays().alias("plays"),
-            playlist_adds().alias("playlist_adds"),
-            ratio2(playlist_adds(), plays()).alias("conversion_rate"),
+            m.plays().alias("plays"),
+            m.playlist_adds().alias("playlist_adds"),
+            ratio2(m.playlist_adds(), m.plays()).alias("conversion_rate"),
         )
         .orderBy(F.desc_nulls_first("conversion_rate"), *SONG)
     )
@@ -148,23 +152,25 @@ def user_loyalty_monthly(silver: DataFrame) -> DataFrame:
     return _loyalty(silver, ["user_id", F.to_date(F.date_trunc("month", "event_ts")).alias("month")])
 
 
-def listening_overview(silver: DataFrame) -> DataFrame:
+def listening_overview(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     return silver.agg(
-        plays().alias("total_plays"),
-        skips().alias("total_skips"),
-        playlist_adds().alias("total_playlist_adds"),
+        m.plays().alias("total_plays"),
+        m.skips().alias("total_skips"),
+        m.playlist_adds().alias("total_playlist_adds"),
         F.count_distinct("user_id").alias("active_users"),
     )
 
 
-def daily_plays(silver: DataFrame) -> DataFrame:
-    return daily_series(silver).select("ds", "y").orderBy("ds")
+def daily_plays(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
+    return daily_series(silver, m=m).select("ds", "y").orderBy("ds")
 
 
-def daily_series(silver: DataFrame, keys: list[str | Column] | None = None) -> DataFrame:
+def daily_series(
+    silver: DataFrame, keys: list[str | Column] | None = None, m: Measures = EVENTS
+) -> DataFrame:
     """Plays per day (``ds``, ``y``), per key if any are given."""
     return silver.groupBy(*(keys or []), F.to_date("event_ts").alias("ds")).agg(
-        plays().alias("y")
+        m.plays().alias("y")
     )
 
 
@@ -173,13 +179,13 @@ def top_n_songs(silver: DataFrame, n: int = 10) -> DataFrame:
     return top_songs(silver).limit(n)
 
 
-def song_skip_rate(silver: DataFrame) -> DataFrame:
+def song_skip_rate(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     return (
         silver.groupBy(*SONG)
         .agg(
-            plays().alias("total_plays"),
-            skips().alias("total_skips"),
-            ratio2(skips(), plays()).alias("skip_rate"),
+            m.plays().alias("total_plays"),
+            m.skips().alias("total_skips"),
+            ratio2(m.skips(), m.plays()).alias("skip_rate"),
         )
         .orderBy(F.desc_nulls_last("skip_rate"), *SONG)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,12 +61,14 @@ def build_lake(
     as_of: str | date | None = None,
     as_tables: bool = False,
     gate: bool = True,
+    at_once: int = 4,
 ) -> dict[str, DataFrame]:
     """Bronze to gold: store silver once, check it, then publish every mart.
 
     Silver is stored as Parquet by day before the marts read it; a view would parse
     bronze again for each of them.  A failed check stops the job before a mart is
-    replaced.
+    replaced.  ``at_once`` marts are submitted at a time, so that the small last
+    tasks of one do not leave the cluster idle.
     """
     silver = tables.write_silver(silver_events(bronze_events), silver_path)
     if gate:
@@ -75,4 +78,9 @@ def build_lake(
     if not as_tables:
         return {name: tables.save_view(df, f"{gold_schema}_{name}") for name, df in marts.items()}
     tables.ensure_schema(spark, gold_schema)
-    return {name: tables.save_table(df, f"{gold_schema}.{name}") for name, df in marts.items()}
+    with ThreadPoolExecutor(at_once) as pool:
+        stored = pool.map(
+            lambda item: (item[0], tables.save_table(item[1], f"{gold_schema}.{item[0]}")),
+            marts.items(),
+        )
+        return dict(stored)

@@ -273,6 +273,14 @@ weeks AS (
 _ZONE_ROWS = 'event_id, user_id, song_id, "timestamp", zone, _reject_reason'
 
 
+_GOLD_MARTS = [
+    "top_songs", "user_engagement", "artist_performance", "churn_risk", "country_stats",
+    "peak_hours", "playlist_conversion", "user_loyalty", "dim_users", "dim_songs", "dim_date",
+    "dim_devices", "fact_play_events", "preferred_device", "country_top_device",
+    "song_trend_weekly", "song_skip_rate",
+]
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "bronze_events": _bronze(f" SELECT {_EVENT} FROM bronze"),
@@ -539,4 +547,14 @@ def oracle_sql() -> dict[str, str]:
             " SELECT * EXCLUDE (album_name) FROM silver"
         ),
     }
+    sql["rollup_churn_risk"] = sql["churn_risk"]
+    sql["rollup_artist_performance"] = sql["artist_performance"]
+    marts = {
+        "quarantine_events": "silver_quarantine",
+        **{name: name for name in _GOLD_MARTS},
+    }
+    sql["gold_build"] = "\nUNION ALL\n".join(
+        f"SELECT '{mart}' AS mart, count(*) AS \"rows\" FROM ({sql[query]})"
+        for mart, query in marts.items()
+    )
     return sql

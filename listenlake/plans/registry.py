@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from listenlake.operators import (
 )
 from listenlake.operators.parse import parse_messages, parse_with_contract
 from listenlake.operators.silver import silver_events, silver_quarantine
+from listenlake.plans import medallion, rollups
 from listenlake.session import pin_utc, work_dir
 from listenlake.sinks import landing as landing_sink
 from listenlake.sinks import tables
@@ -331,6 +333,40 @@ def catalog_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze to stored silver to all marts as tables; rows per mart."""
+    schema = _bronze_schema(spark, "gold")
+    built = medallion.build_lake(
+        spark, _bronze(spark, sf_dir), work_dir(spark, "silver"), schema, AS_OF, as_tables=True
+    )
+    counts = [
+        df.agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("rows"))
+        for name, df in built.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _rollups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Rollups in two refreshes; the second one repeats a week of the first."""
+    root = work_dir(spark, "rollups")
+    stored = tables.write_silver(_silver(spark, sf_dir), f"{root}/silver")
+    for first, last in (("2024-01-01", "2024-01-20"), ("2024-01-14", "2024-12-31")):
+        days = F.col("event_date").between(first, last)
+        rollups.refresh(stored.filter(days).drop("event_date"), root)
+    return rollups.marts(spark, root, AS_OF)
+
+
+@_register
+def rollup_churn_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rollups(spark, sf_dir)["churn_risk"]
+
+
+@_register
+def rollup_artist_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rollups(spark, sf_dir)["artist_performance"]
+
+
 # --- quality ----------------------------------------------------------------------
 
 
