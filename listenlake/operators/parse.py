@@ -28,8 +28,9 @@ def expand_json(
     ``inline_outer`` over a one-element array makes the parse a step of its own,
     so that a later filter on a parsed field does not parse the text again.
     """
-    read_as = _with_raw(schema)
-    parsed = F.from_json(text, read_as, {"columnNameOfCorruptRecord": _RAW})
+    parsed = F.from_json(text, _with_raw(schema), {"columnNameOfCorruptRecord": _RAW})
+    if drop_undecodable:
+        df = df.filter(F.trim(text) != "")
     rows = df.select(*keep, F.inline_outer(F.array(parsed)))
     if drop_undecodable:
         # The raw text is only set where something did not fit the schema, so the
@@ -64,8 +65,7 @@ def parse_with_contract(messages: DataFrame) -> DataFrame:
     ``missing_<field>`` (a required field is absent).
     """
     text = F.col("value").cast("string")
-    read_as = _with_raw(schemas.EVENT)
-    parsed = F.from_json(text, read_as, {"columnNameOfCorruptRecord": _RAW})
+    parsed = F.from_json(text, _with_raw(schemas.EVENT), {"columnNameOfCorruptRecord": _RAW})
     rows = messages.select(
         text.alias("raw"),
         F.col("timestamp").alias("kafka_ingest_time"),

@@ -67,11 +67,11 @@ def append_rows(df: DataFrame, table: str) -> None:
 def append_new_rows(df: DataFrame, table: str, day: str, keys: list[str]) -> None:
     """Append only rows that ``table`` does not hold yet.
 
-    A repeated row has the same day, so the existing side is reduced to the days of
-    the incoming rows: the day list is one small aggregate, and Spark prunes the
-    table's partitions with it at run time.  NULL keys compare equal.  The incoming
-    rows are used twice and kept (memory, then disk) until they are written; for an
-    empty table the comparison is left out.
+    A repeated row has the same day, so only the partitions of the incoming days are
+    read: the list of days is short (calendar days of one load) and goes into the
+    partition filter.  NULL keys compare equal.  The incoming rows are used twice
+    and kept (memory, then disk) until they are written; for an empty table the
+    comparison is left out.
     """
     spark = df.sparkSession
     if spark.table(table).isEmpty():
@@ -79,19 +79,24 @@ def append_new_rows(df: DataFrame, table: str, day: str, keys: list[str]) -> Non
         return
     incoming = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        days = incoming.select(day).distinct()
-        touched = spark.table(table).select(day, *keys).join(days, day, "left_semi").alias("old")
+        old = held_days(spark, table, day, incoming).select(day, *keys).alias("old")
         same = reduce(
             lambda a, b: a & b,
             [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys],
             F.col(f"new.{day}") == F.col(f"old.{day}"),
         )
-        fresh = incoming.alias("new").join(touched, same, "left_anti")
+        fresh = incoming.alias("new").join(old, same, "left_anti")
         append_rows(_balanced(fresh, day), table)
     finally:
         incoming.unpersist()
 
 
+def held_days(spark: SparkSession, table: str, day: str, incoming: DataFrame) -> DataFrame:
+    """The rows of ``table`` on the days that ``incoming`` has rows for."""
+    days = [r[0] for r in incoming.select(day).distinct().collect()]
+    return spark.table(table).filter(F.col(day).isin(days))
+
+
 def load_bronze(landing: DataFrame, table: str, once: bool = True) -> None:
     """Load clean events into the bronze table in bulk, creating it if needed.
 
