@@ -64,9 +64,30 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*names).write.mode("append").insertInto(table)
 
 
-def append_new_rows(df: DataFrame, table: str, day: str, keys: list[str]) -> None:
+def _folded(df: DataFrame) -> DataFrame:
+    """Equal rows of one task as one row with their number ``_times``.
+
+    A third of all messages may be the same unreadable text; folding them before a
+    shuffle leaves one row per task of it.
+    """
+    return df.groupBy(*df.columns, F.spark_partition_id().alias("_task")).agg(
+        F.count(F.lit(1)).alias("_times")
+    )
+
+
+def _unfolded(df: DataFrame) -> DataFrame:
+    times = F.sequence(F.lit(1).cast("bigint"), "_times")
+    return df.withColumn("_n", F.explode(times)).drop("_n", "_times", "_task")
+
+
+def append_new_rows(
+    df: DataFrame, table: str, day: str, keys: list[str], unfold: bool = False
+) -> None:
     """Append only rows that ``table`` does not hold yet.
 
+    ``df`` must hold few rows per key: both sides of the comparison are then free of
+    hot keys, as the stored side is reduced to distinct keys map-side.
+
     A repeated row has the same day, so only the partitions of the incoming days are
     read: the list of days is short (calendar days of one load) and goes into the
     partition filter.  NULL keys compare equal.  The incoming rows are used twice
@@ -74,19 +95,21 @@ def append_new_rows(df: DataFrame, table: str, day: str, keys: list[str]) -> Non
     comparison is left out.
     """
     spark = df.sparkSession
+    whole = _unfolded if unfold else (lambda rows: rows)
     if spark.table(table).isEmpty():
-        append_rows(_balanced(df, day), table)
+        append_rows(_balanced(whole(df), day), table)
         return
     incoming = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        old = held_days(spark, table, day, incoming).select(day, *keys).alias("old")
+        held = held_days(spark, table, day, incoming)
+        old = held.select(day, *keys).distinct().alias("old")
         same = reduce(
             lambda a, b: a & b,
             [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys],
             F.col(f"new.{day}") == F.col(f"old.{day}"),
         )
         fresh = incoming.alias("new").join(old, same, "left_anti")
-        append_rows(_balanced(fresh, day), table)
+        append_rows(_balanced(whole(fresh), day), table)
     finally:
         incoming.unpersist()
 
@@ -124,7 +147,9 @@ def load_bronze_quarantine(landing: DataFrame, table: str, once: bool = True) ->
     schema = _with_day_column(schemas.QUARANTINE, "rejected_date")
     ensure_table(landing.sparkSession, table, schema, "rejected_date")
     if once:
-        append_new_rows(rows, table, "rejected_date", schemas.QUARANTINE_COLUMNS)
+        append_new_rows(
+            _folded(rows), table, "rejected_date", schemas.QUARANTINE_COLUMNS, unfold=True
+        )
     else:
         append_rows(_balanced(rows, "rejected_date"), table)
 

@@ -107,6 +107,21 @@ def test_quarantine_load_keeps_rows_without_any_key(spark):
     assert got == [("None", "missing_event_id"), ("None", "unknown"), ("e", "missing_song_id")]
 
 
+def test_equal_rejects_are_all_kept_and_loaded_once(spark):
+    table = f"{new_schema(spark)}.rejects"
+    stamp = "2024-01-01 00:00:00"
+    same = spark.range(1000).selectExpr(
+        "CAST(NULL AS STRING) AS event_id", "'missing_event_id' AS _reject_reason",
+        f"'{stamp}' AS _rejected_at",
+    )
+    for _ in range(2):
+        tables.load_bronze_quarantine(same, table)
+    assert spark.table(table).count() == 1000
+    later = same.limit(10).selectExpr("event_id", "_reject_reason", "'2024-01-01 01:00:00' AS _rejected_at")
+    tables.load_bronze_quarantine(later.unionByName(same.limit(5)), table)
+    assert spark.table(table).count() == 1010
+
+
 def test_load_reads_only_the_touched_days(spark, bronze_of):
     table = f"{new_schema(spark)}.events"
     tables.load_bronze(
