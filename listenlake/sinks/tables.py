@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from listenlake import schemas
 from listenlake.operators.conform import to_bronze, to_bronze_quarantine, to_legacy_bronze
-from listenlake.operators.dedup import dedup_events
+from listenlake.operators.dedup import dedup_events, fold, unfold
 
 # Day of rows whose time is missing or does not parse.
 NO_DAY = "1970-01-01"
@@ -64,24 +64,8 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*names).write.mode("append").insertInto(table)
 
 
-def _folded(df: DataFrame) -> DataFrame:
-    """Equal rows of one task as one row with their number ``_times``.
-
-    A third of all messages may be the same unreadable text; folding them before a
-    shuffle leaves one row per task of it.
-    """
-    return df.groupBy(*df.columns, F.spark_partition_id().alias("_task")).agg(
-        F.count(F.lit(1)).alias("_times")
-    )
-
-
-def _unfolded(df: DataFrame) -> DataFrame:
-    times = F.sequence(F.lit(1).cast("bigint"), "_times")
-    return df.withColumn("_n", F.explode(times)).drop("_n", "_times", "_task")
-
-
 def append_new_rows(
-    df: DataFrame, table: str, day: str, keys: list[str], unfold: bool = False
+    df: DataFrame, table: str, day: str, keys: list[str], folded: bool = False
 ) -> None:
     """Append only rows that ``table`` does not hold yet.
 
@@ -95,7 +79,7 @@ def append_new_rows(
     comparison is left out.
     """
     spark = df.sparkSession
-    whole = _unfolded if unfold else (lambda rows: rows)
+    whole = unfold if folded else (lambda rows: rows)
     if spark.table(table).isEmpty():
         append_rows(_balanced(whole(df), day), table)
         return
@@ -148,7 +132,7 @@ def load_bronze_quarantine(landing: DataFrame, table: str, once: bool = True) ->
     ensure_table(landing.sparkSession, table, schema, "rejected_date")
     if once:
         append_new_rows(
-            _folded(rows), table, "rejected_date", schemas.QUARANTINE_COLUMNS, unfold=True
+            fold(rows), table, "rejected_date", schemas.QUARANTINE_COLUMNS, folded=True
         )
     else:
         append_rows(_balanced(rows, "rejected_date"), table)
