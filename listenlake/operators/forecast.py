@@ -21,7 +21,7 @@ MIN_DAYS = 2
 Z_80 = 1.2816
 METRIC_DECIMALS = 2
 
-# Parameters that go into the run log next to the metrics.
+# Parameter names of the run log. The model has no within-day pattern.
 RUN_PARAMS = {
     "forecast_periods": str(HORIZON_DAYS),
     "weekly_seasonality": "True",

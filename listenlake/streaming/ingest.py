@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from listenlake.operators.conform import conform
-from listenlake.operators.parse import expand_json
+from listenlake.operators.parse import expand_json, parse_with_contract
 from listenlake.operators.validate import split, with_zone
 from listenlake.sinks.landing import with_ingest_hour
 
@@ -82,6 +82,15 @@ def start_zones_single_scan(
     ).start()
 
 
+def start_dead_letters(
+    messages: DataFrame, path: str, checkpoint: str, trigger: str | None = QUARANTINE_TRIGGER
+) -> StreamingQuery:
+    """Messages that break the contract, with their raw text and what is wrong."""
+    broken = parse_with_contract(messages).filter(F.col("violation").isNotNull())
+    letters = broken.select("raw", "violation", "kafka_ingest_time")
+    return _trigger(_json_sink(letters, path, checkpoint, None), trigger).start()
+
+
 def start_hourly_archive(
     messages: DataFrame, path: str, checkpoint: str, trigger: str | None = CLEAN_TRIGGER,
     records_per_file: int | None = None,

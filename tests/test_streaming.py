@@ -70,6 +70,16 @@ def test_hourly_archive_keeps_every_line(spark, tmp_path):
     assert {"date", "hour"} < set(stored.columns)
 
 
+def test_dead_letters_keep_the_raw_text(spark, tmp_path):
+    bad = [event(2, age="old"), "junk", event(3, song_id=None)]
+    put(tmp_path / "in", "1.txt", event(1), *bad)
+    ingest.start_dead_letters(
+        file_messages(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck"), None
+    ).awaitTermination()
+    got = {r["raw"]: r["violation"] for r in spark.read.json(str(tmp_path / "out")).collect()}
+    assert got == dict(zip(bad, ["wrong_type", "malformed_json", "missing_song_id"]))
+
+
 def test_table_load_takes_each_file_once(spark, tmp_path):
     def run():
         ingest.start_table_load(
