@@ -37,9 +37,13 @@ def top_songs(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
     )
 
 
-def user_engagement(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
+def user_engagement(
+    silver: DataFrame, m: Measures = EVENTS, ordered: bool = True
+) -> DataFrame:
+    """The largest mart. ``ordered=False`` saves the shuffle of its final sort where
+    the order is of no use, as in a stored table."""
     day = F.date_trunc("day", "event_ts").alias("day")
-    return (
+    totals = (
         silver.groupBy("user_id", "device_type", "country", day)
         .agg(
             m.plays().alias("plays"),
@@ -47,8 +51,10 @@ def user_engagement(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:
             m.playlist_adds().alias("playlist_adds"),
         )
         .select("user_id", "device_type", "country", "plays", "skips", "playlist_adds", "day")
-        .orderBy(F.desc("plays"), "user_id", "device_type", "country", "day")
     )
+    if not ordered:
+        return totals
+    return totals.orderBy(F.desc("plays"), "user_id", "device_type", "country", "day")
 
 
 def artist_performance(silver: DataFrame, m: Measures = EVENTS) -> DataFrame:

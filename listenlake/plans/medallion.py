@@ -7,10 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listenlake import schemas
 from listenlake.operators import gold, preferences, quality, star, trends
 from listenlake.operators.silver import silver_events, silver_quarantine
+from listenlake.plans import rollups
 from listenlake.sinks import tables
 from listenlake.sources.landing import read_ndjson
 
@@ -35,10 +37,14 @@ GOLD: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def gold_marts(silver: DataFrame, as_of: str | date | None = None) -> dict[str, DataFrame]:
+def gold_marts(
+    silver: DataFrame, as_of: str | date | None = None, ordered: bool = True
+) -> dict[str, DataFrame]:
     """All marts over one silver relation, still lazy."""
-    marts = {name: build(silver) for name, build in GOLD.items() if name != "churn_risk"}
-    return {**marts, "churn_risk": gold.churn_risk(silver, as_of)}
+    marts = {name: build(silver) for name, build in GOLD.items()}
+    marts["churn_risk"] = gold.churn_risk(silver, as_of)
+    marts["user_engagement"] = gold.user_engagement(silver, ordered=ordered)
+    return marts
 
 
 def load_landing(spark: SparkSession, clean_path: str, quarantine_path: str, bronze: str) -> None:
@@ -73,7 +79,7 @@ def build_lake(
     silver = tables.write_silver(silver_events(bronze_events), silver_path)
     if gate:
         quality.enforce(quality.dq_report(silver))
-    marts = gold_marts(silver, as_of)
+    marts = gold_marts(silver, as_of, ordered=not as_tables)
     marts["quarantine_events"] = silver_quarantine(bronze_events)
     if not as_tables:
         return {name: tables.save_view(df, f"{gold_schema}_{name}") for name, df in marts.items()}
@@ -84,3 +90,27 @@ def build_lake(
             marts.items(),
         )
         return dict(stored)
+
+
+def refresh_days(
+    spark: SparkSession,
+    bronze_table: DataFrame,
+    first: str,
+    last: str,
+    silver_path: str,
+    rollup_root: str,
+    as_of: str | date | None = None,
+    gate: bool = True,
+) -> dict[str, DataFrame]:
+    """Bring silver and the rollups up to date for some event days, then give the marts.
+
+    ``bronze_table`` is laid out by ``event_date``: only these days are read, parsed,
+    checked and counted again, and they replace what was stored for them before.
+    """
+    days = F.col("event_date").between(first, last)
+    fresh = silver_events(bronze_table.filter(days).drop("event_date"))
+    stored = tables.write_silver(fresh, silver_path, only_given_days=True).filter(days)
+    if gate:
+        quality.enforce(quality.dq_report(stored))
+    rollups.refresh(stored.drop("event_date"), rollup_root)
+    return rollups.marts(spark, rollup_root, as_of)

@@ -208,6 +208,27 @@ def test_rollup_marts_equal_direct_marts(spark, silver_of):
     silver.unpersist()
 
 
+def test_day_by_day_refresh_equals_a_full_build(spark, bronze_of):
+    events = [
+        {"user_id": f"u{i % 4}", "event_type": ["play", "skip"][i % 2],
+         "timestamp": f"2024-01-{1 + i % 6:02d}T{i % 24:02d}:00:00Z"}
+        for i in range(60)
+    ]
+    table = f"{new_schema(spark)}.events"
+    tables.load_bronze(bronze_of(*events[:40]), table)
+    silver, totals = work_dir(spark, "silver"), work_dir(spark, "totals")
+    medallion.refresh_days(spark, spark.table(table), "2024-01-01", "2024-01-06", silver, totals)
+    late = [{**e, "event_id": f"late{i}"} for i, e in enumerate(events[40:]) if "-06T" in e["timestamp"]]
+    tables.load_bronze(bronze_of(*late), table)
+    marts = medallion.refresh_days(
+        spark, spark.table(table), "2024-01-06", "2024-01-06", silver, totals, "2024-01-31"
+    )
+    full = medallion.gold_marts(silver_events(spark.table(table).drop("event_date")), "2024-01-31")
+    for name in ("churn_risk", "user_engagement", "top_songs", "country_stats"):
+        assert sorted(map(str, marts[name].collect())) == sorted(map(str, full[name].collect())), name
+    assert tables.read_silver(spark, silver).count() == 40 + len(late)
+
+
 def test_kafka_options():
     assert kafka_options("host:1", "topic", max_offsets_per_trigger=1000) == {
         "kafka.bootstrap.servers": "host:1",
