@@ -4,6 +4,7 @@
     archive   the same messages, unparsed, into date/hour folders
     load      landing zones into the bronze tables; a rerun adds nothing
     build     bronze to stored silver, quality gate, gold tables
+    refresh   the same for some event days only, by way of daily totals
     forecast  daily plays from stored silver, seven days ahead
 """
 
@@ -43,11 +44,16 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--clean", required=True)
     job.add_argument("--quarantine", required=True)
     job.add_argument("--schema", default="bronze")
-    job = jobs.add_parser("build")
-    job.add_argument("--bronze", default="bronze")
-    job.add_argument("--silver", required=True, help="path of stored silver")
-    job.add_argument("--gold", default="gold")
-    job.add_argument("--as-of")
+    for name in ("build", "refresh"):
+        job = jobs.add_parser(name)
+        job.add_argument("--bronze", default="bronze")
+        job.add_argument("--silver", required=True, help="path of stored silver")
+        job.add_argument("--gold", default="gold")
+        job.add_argument("--as-of")
+        if name == "refresh":
+            job.add_argument("--rollups", required=True, help="path of the daily totals")
+            job.add_argument("--first", required=True, help="first event day")
+            job.add_argument("--last", required=True, help="last event day")
     job = jobs.add_parser("forecast")
     job.add_argument("--silver", required=True)
     job.add_argument("--schema", default="gold")
@@ -84,6 +90,12 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     elif args.job == "build":
         bronze = source(spark, args.bronze, "listening_events").drop("event_date")
         medallion.build_lake(spark, bronze, args.silver, args.gold, args.as_of, as_tables=True)
+    elif args.job == "refresh":
+        bronze = source(spark, args.bronze, "listening_events")
+        marts = medallion.refresh_days(
+            spark, bronze, args.first, args.last, args.silver, args.rollups, args.as_of
+        )
+        medallion.save_all(spark, marts, args.gold)
     else:
         silver = read_silver(spark, args.silver)
         run_id = args.run_id or uuid.uuid4().hex

@@ -83,10 +83,17 @@ def build_lake(
     marts["quarantine_events"] = silver_quarantine(bronze_events)
     if not as_tables:
         return {name: tables.save_view(df, f"{gold_schema}_{name}") for name, df in marts.items()}
-    tables.ensure_schema(spark, gold_schema)
+    return save_all(spark, marts, gold_schema, at_once)
+
+
+def save_all(
+    spark: SparkSession, marts: dict[str, DataFrame], schema: str, at_once: int = 4
+) -> dict[str, DataFrame]:
+    """Replace the tables of ``schema`` that the marts name."""
+    tables.ensure_schema(spark, schema)
     with ThreadPoolExecutor(at_once) as pool:
         stored = pool.map(
-            lambda item: (item[0], tables.save_table(item[1], f"{gold_schema}.{item[0]}")),
+            lambda item: (item[0], tables.save_table(item[1], f"{schema}.{item[0]}")),
             marts.items(),
         )
         return dict(stored)
