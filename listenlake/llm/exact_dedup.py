@@ -18,10 +18,10 @@ columns live in one struct.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlake.llm.common import WHITE, stored, text_of
+from listenlake.llm.common import WHITE, stored, table, text_of
 
 # The filter holds two words per row, and at least this many.
 LEAST_WORDS = 1024
@@ -90,9 +90,9 @@ def _filtered(narrow: DataFrame) -> tuple[DataFrame, int, int]:
 
 def _groups(maybe: DataFrame) -> DataFrame:
     """Count and winner of every text that may repeat; a hot text is folded before the shuffle."""
-    best = F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id", "_row"))
+    best = F.min(F.struct((-F.col("n_chars")).alias("_n"), F.col("doc_id").isNull().alias("_null"), "doc_id", "_row"))
     groups = maybe.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), best.alias("_best"))
-    return groups.select("text_sha256", "group_size", F.col("_best.doc_id").alias("keep_id"), F.col("_best._row").alias("_keep_row"))
+    return groups.select("text_sha256", "group_size", F.col("_best.doc_id").alias("keep_id"), F.col("_best._row").alias("_keep_row"), (-F.col("_best._n")).alias("most_chars"))
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,18 +122,32 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     narrow = _narrow(docs, id_col, text_col)
     bits, words, n_bits = _filtered(narrow)
     groups = stored(_groups(flag_possible_repeats(narrow, bits, words, n_bits).where("_maybe")), "exact-groups")
+    best = groups.select("text_sha256", "keep_id", "most_chars")
     whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
         F.col(id_col).alias("_id"),
         _digest(text_col).alias("text_sha256"),
+        F.char_length(text_of(text_col)).cast("bigint").alias("_n"),
     )
     flagged = flag_possible_repeats(whole.withColumn("_h", _hash(F.col("text_sha256"))), bits, words, n_bits)
     alone = flagged.where("not _maybe").select("_doc.*")
-    best = groups.select("text_sha256", F.col("keep_id"))
-    length = F.char_length(text_of(f"_doc`.`{text_col}")) if False else F.char_length(F.coalesce(F.col("_doc")[text_col], F.lit("")))
-    candidates = flagged.where("_maybe").select("_doc", "_id", "text_sha256", length.cast("bigint").alias("_n"))
-    longest = narrow.where("true").groupBy("text_sha256").agg(F.max("n_chars").alias("_most"))
-    del longest
-    winners = candidates.join(best, "text_sha256").where(F.col("_id").eqNullSafe(F.col("keep_id")))
-    first = winners.groupBy("text_sha256").agg(F.max_by("_doc", "_n").alias("_doc"))
+    same = F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_n") == F.col("most_chars"))
+    winners = flagged.where("_maybe").join(best, "text_sha256").where(same)
+    first = winners.groupBy("text_sha256").agg(F.first("_doc").alias("_doc"))
     return alone.unionByName(first.select("_doc.*"))
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decisions(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER w = 1 AS kept, text_sha256
+FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+"""
