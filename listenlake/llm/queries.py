@@ -7,15 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from listenlake.llm import exact_dedup, language_id, mixing, packing, simhash
+from listenlake.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    packing,
+    simhash,
+    sketches,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op2_packing": packing.op2_packing,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_simhash": simhash.op5_simhash,
+        "op6_license_scan": license_scan.op6_license_scan,
+        "op7_fingerprints": sketches.op7_fingerprints,
         "op8_mixing": mixing.op8_mixing,
+        "op9_warc": warc.op9_warc,
         "op10_language_id": language_id.op10_language_id,
         "pipeline": corpus_pipeline.run,
     }
