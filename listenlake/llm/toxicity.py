@@ -34,7 +34,7 @@ from listenlake.llm.common import id_and_text, stored, table
 SAMPLE_ROWS = 1200
 WINDOW, STRIDE = 32, 24
 WORDS, BUCKETS, DIM, HIDDEN = 4000, 4096, 16, 8
-ROUNDS, EPOCHS, BATCH, RATE = 3, 4, 64, 0.01
+ROUNDS, STEPS, BATCH, RATE = 3, 130, 32, 0.01
 # Windows scored at a time, and words whose inputs a task remembers.
 CHUNK, CACHE_WORDS = 2048, 200_000
 _WORD = re.compile(r"[^\W_]+")
@@ -222,7 +222,7 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Network | None:
             picks = best[:1] if y else np.unique(np.r_[best[:1], rng.integers(0, len(c), 1)])
             chosen += [flat[start + i] for i in picks]
             target += [y] * len(picks)
-        for _ in range(EPOCHS):
+        for _ in range(-(-STEPS * BATCH // len(chosen))):
             net.train(chosen, np.array(target, np.float32), rng)
     marks = net.logits(flat, {})
     top = np.array([marks[end - len(c) : end].max() for (c, _), end in zip(cut, ends)])
