@@ -13,7 +13,8 @@ column-wise pass, on short aligned contexts:
    context, at most 768 bytes; equal contexts are folded before the shuffle.
 3. Contexts of one anchor are aligned and read column by column, each adding one
    symbol's value to a running sum; two sums 400 columns apart identify a string.
-   Strings that occur twice are marked.
+   Strings that occur twice are marked.  An anchor with more than ``ANCHOR_CONTEXTS``
+   distinct contexts has its strings counted by a plain aggregate over all tasks.
 4. The marked places return to their documents.
 
 A string is identified by a 64-bit sum of random values, next to a 64-bit anchor hash.
@@ -43,6 +44,13 @@ COLUMNS = PLACES - 1 + LENGTH
 # Contexts whose columns are summed at a time.
 ROWS = 1024
 
+# Contexts of an anchor up to which one task reads them; beyond it their strings are counted one by one.
+ANCHOR_CONTEXTS = 20_000
+# Rows handed on at a time.
+FLUSH_ROWS = 20_000
+_HIGH = np.uint64(0xFFFFFFFF00000000)
+_SYMBOLS = np.random.default_rng(5).integers(0, 2**64, 256, dtype=np.uint64)
+
 _ANCHORS = "row long, anchor long, left int, start long, width int, digest long"
 
 
@@ -57,19 +65,20 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     n = len(data) - LENGTH + 1
     if n <= 0:
         return (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3)
-    h, factor, size = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1), np.uint64(0x9E3779B97F4A7C15), 1
+    h, factor, size = _SYMBOLS[np.frombuffer(data, np.uint8)], np.array([0x9E3779B97F4A7C15], np.uint64), 1
     while size < GRAM:
-        h = h[:-size] * factor + _mixed(h[size:])
-        size *= 2
+        # The hash of twice as many bytes, as a polynomial.
+        h = h[:-size] * factor + h[size:]
+        factor, size = factor * factor, 2 * size
     h = _mixed(h)
-    value, place, size = h, np.arange(len(h)), 1
+    # Half a hash, then the place: the least is the leftmost of least hash.
+    least, size = (h & _HIGH) | np.arange(len(h), dtype=np.uint64), 1
     while size < PLACES:
         # The least of ``size`` places becomes that of twice as many, or of PLACES at last.
         step = min(size, PLACES - size)
-        lower = value[step:] < value[:-step]
-        value = np.where(lower, value[step:], value[:-step])
-        place = np.where(lower, place[step:], place[:-step])
+        least = np.minimum(least[:-step], least[step:])
         size += step
+    place = (least & ~_HIGH).astype(np.int64)
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     last = np.r_[first[1:], n] - 1
     return h[place[first]], place[first], first, last
@@ -79,23 +88,43 @@ def _find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import xxhash
 
     for batch in batches:
+        parts, held = [], 0
         for row, text in zip(batch["row"], batch["text"]):
             data = text.encode()
             h, place, first, last = anchors(data)
             if len(h):
-                digests = [xxhash.xxh64_intdigest(data[a : b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())]
-                yield pd.DataFrame({
-                    "row": row, "anchor": h.view(np.int64), "left": (place - first).astype(np.int32), "start": first,
-                    "width": (last - first + 1).astype(np.int32), "digest": np.array(digests, np.uint64).view(np.int64),
-                })
+                view = memoryview(data)
+                digests = [xxhash.xxh64_intdigest(view[a : b + LENGTH]) for a, b in zip(first.tolist(), last.tolist())]
+                parts.append((np.full(len(h), row), h, place - first, first, last - first + 1, np.array(digests, np.uint64)))
+                held += len(h)
+            if held >= FLUSH_ROWS:
+                yield _anchor_frame(parts)
+                parts, held = [], 0
+        if parts:
+            yield _anchor_frame(parts)
+
+
+def _anchor_frame(parts: list[tuple]) -> pd.DataFrame:
+    row, h, left, start, width, digest = (np.concatenate(c) for c in zip(*parts))
+    return pd.DataFrame({
+        "row": row, "anchor": h.view(np.int64), "left": left.astype(np.int32), "start": start,
+        "width": width.astype(np.int32), "digest": digest.view(np.int64),
+    })
 
 
 def _cut_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["anchor", "left", "width", "digest", "n", "hot", "context"]
     for batch in batches:
+        rows = []
         for text, places in zip(batch["text"], batch["places"]):
             data = text.encode()
-            rows = [(p["anchor"], p["left"], p["width"], p["digest"], data[p["start"] : p["start"] + p["width"] + LENGTH - 1]) for p in places]
-            yield pd.DataFrame(rows, columns=["anchor", "left", "width", "digest", "context"])
+            for p in places:
+                context = data[p["start"] : p["start"] + p["width"] + LENGTH - 1]
+                rows.append((p["anchor"], p["left"], p["width"], p["digest"], p["n"], p["hot"], context))
+            if len(rows) >= FLUSH_ROWS:
+                yield pd.DataFrame(rows, columns=names)
+                rows = []
+        yield pd.DataFrame(rows, columns=names)
 
 
 def _sums(group: pd.DataFrame, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,10 +166,25 @@ def _marks_of(group: pd.DataFrame, values: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["anchor", "left", "width", "digest", "from", "to"])
 
 
+def _values() -> np.ndarray:
+    """A random value of each symbol in each column."""
+    return np.random.default_rng(11).integers(0, 2**64, (COLUMNS, 256), dtype=np.uint64)
+
+
+def _spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every string of a context with its identity, for anchors that are counted string by string."""
+    values = _values()
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            group = batch.iloc[at : at + ROWS]
+            rows, starts, keys = _sums(group, values)
+            of = group.iloc[rows][["anchor", "left", "width", "digest", "n"]].reset_index(drop=True)
+            yield of.assign(**{"from": starts, "key": keys.view(np.int64)})
+
+
 def _mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by anchor; an anchor's rows may run over a batch's end."""
-    values = np.random.default_rng(11).integers(0, 2**64, (COLUMNS, 256), dtype=np.uint64)
-    held = None
+    values, held = _values(), None
     for batch in batches:
         held = batch if held is None else pd.concat([held, batch], ignore_index=True)
         anchor = held["anchor"].to_numpy()
@@ -171,25 +215,40 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield made.assign(doc_id=made["doc_id"].astype("Int64"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", anchor_contexts: int = ANCHOR_CONTEXTS
+) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept."""
     narrow = id_and_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = stored(narrow.withColumn("row", F.monotonically_increasing_id()), "repeat-docs")
     runs = stored(rows.select("row", "text").mapInPandas(_find_anchors, _ANCHORS), "repeat-anchors")
-    again = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("anchor")
+    # Stored, so that the join sees two plain shuffles and can split a hot anchor.
+    again = stored(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("anchor"), "repeat-again")
     runs = stored(runs.join(again, "anchor", "left_semi"), "repeat-candidates")
     what = ["anchor", "left", "width", "digest"]
     # Of equal contexts one is cut from its document.
     folded = runs.groupBy(*what).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start")).alias("at"))
     folded = stored(folded, "repeat-folded")
-    wanted = folded.select(F.col("at.row").alias("row"), F.struct(*what, F.col("at.start").alias("start")).alias("p"))
+    many = folded.groupBy("anchor").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > anchor_contexts)
+    many = stored(many.select("anchor", F.lit(True).alias("hot")), "repeat-hot")
+    wanted = folded.join(many, "anchor", "left").select(
+        F.col("at.row").alias("row"),
+        F.struct(*what, "n", F.coalesce("hot", F.lit(False)).alias("hot"), F.col("at.start").alias("start")).alias("p"),
+    )
     cut = rows.select("row", "text").join(wanted.groupBy("row").agg(F.collect_list("p").alias("places")), "row")
     contexts = cut.select("text", "places").mapInPandas(
-        _cut_contexts, "anchor long, left int, width int, digest long, context binary"
-    ).join(folded.select(*what, "n"), what)
-    dealt = contexts.repartition("anchor").sortWithinPartitions("anchor")
+        _cut_contexts, "anchor long, left int, width int, digest long, n long, hot boolean, context binary"
+    )
+    contexts = stored(contexts, "repeat-contexts")
+    dealt = contexts.where("not hot").repartition("anchor").sortWithinPartitions("anchor")
     marks = dealt.mapInPandas(_mark, "anchor long, left int, width int, digest long, from long, to long")
-    marks = stored(marks, "repeat-marks")
+    # A hot anchor's strings are counted with a partial step, in as many tasks as there are.
+    spelt = contexts.where("hot").mapInPandas(
+        _spell, "anchor long, left int, width int, digest long, n long, from long, key long"
+    )
+    repeated = stored(spelt.groupBy("key").agg(F.sum("n").alias("_n")).where("_n > 1").select("key"), "repeat-strings")
+    single = spelt.join(repeated, "key", "left_semi").select(*what, "from", (F.col("from") + LENGTH).alias("to"))
+    marks = stored(marks.unionByName(single), "repeat-marks")
     placed = runs.join(marks, what).select(
         "row", F.struct((F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to")).alias("m")
     )
