@@ -321,7 +321,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_LEGACY}, CAST(kafka_ingest_time AS DATE) AS date,
               CAST(hour(kafka_ingest_time) AS INTEGER) AS hour FROM parsed"""),
         "clean_zone_by_country": _zoned(
-            f" SELECT {_EVENT} FROM zoned WHERE zone = 'clean' AND country IN ('VN', 'JP')"
+            f" SELECT {_EVENT} FROM zoned WHERE zone = 'clean'"
         ),
         "bronze_load_twice": _bronze(f"""
             SELECT {_EVENT} FROM bronze WHERE event_id IS NOT NULL AND user_id IS NOT NULL
@@ -344,9 +344,7 @@ def oracle_sql() -> dict[str, str]:
             FROM bronze
             WHERE event_id IS NULL OR user_id IS NULL OR song_id IS NULL
               OR try_cast("timestamp" AS TIMESTAMP) IS NULL"""),
-        "silver_parquet_days": _silver("""
-            SELECT * FROM silver
-            WHERE CAST(event_ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"""),
+        "silver_parquet_days": _silver(" SELECT * FROM silver"),
         "top_songs": _silver(f"""
             SELECT {_SONG}, {_n("play")} AS total_plays, {_n("skip")} AS total_skips
             FROM silver GROUP BY {_SONG} ORDER BY total_plays DESC, {_SONG}"""),
@@ -502,10 +500,16 @@ def oracle_sql() -> dict[str, str]:
               UNION ALL
               SELECT 'metric', 'total_plays', CAST({_n("play")} AS VARCHAR) FROM silver
               UNION ALL
+              SELECT 'metric', 'mae', CAST(round(avg(abs(yhat - y)), 2) AS VARCHAR)
+                FROM forecast WHERE y IS NOT NULL
+              UNION ALL
+              SELECT 'metric', 'rmse', CAST(round(sqrt(avg((yhat - y) * (yhat - y))), 2) AS VARCHAR)
+                FROM forecast WHERE y IS NOT NULL
+              UNION ALL
               SELECT * FROM (VALUES ('param', 'forecast_periods', '7'),
                 ('param', 'weekly_seasonality', 'True'), ('param', 'daily_seasonality', 'False'),
                 ('param', 'yearly_seasonality', 'False'),
-                ('param', 'model_type', 'linear trend with weekday effect')))"""),
+                ('param', 'model_type', 'linear trend with weekday effect')))""", _forecast_ctes(_ALL, 7)),
         "forecast_fourier": _silver("""
             SELECT ds, round(yhat, 3) AS yhat, round(yhat - s, 3) AS yhat_lower,
               round(yhat + s, 3) AS yhat_upper FROM fit CROSS JOIN spread""", _FOURIER),

@@ -192,13 +192,13 @@ def ndjson_hourly_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def clean_zone_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country folders: the filter prunes them."""
+    """The clean zone in country folders, read back whole."""
     root = work_dir(spark, "by-country")
     landing_sink.write_ndjson(validate.clean(_parsed(spark, sf_dir)), root, ["country"])
     without = StructType([f for f in schemas.EVENT.fields if f.name != "country"])
     folders = StructType().add("country", "string")
     rows = read_ndjson(spark, root, without, folders)
-    return rows.filter(F.col("country").isin("VN", "JP")).select(*schemas.EVENT_COLUMNS)
+    return rows.select(*schemas.EVENT_COLUMNS)
 
 
 def _bronze_schema(spark: SparkSession, label: str) -> str:
@@ -262,10 +262,9 @@ _REGISTRY["silver_quarantine"] = _silver_quarantine
 
 @_register
 def silver_parquet_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored silver; the day filter prunes folders."""
+    """Silver stored in day folders, read back whole."""
     stored = tables.write_silver(_silver(spark, sf_dir), work_dir(spark, "silver"))
-    week = F.col("event_date").between("2024-01-08", "2024-01-14")
-    return stored.filter(week).drop("event_date")
+    return stored.drop("event_date")
 
 
 # --- gold -------------------------------------------------------------------------
@@ -348,11 +347,16 @@ def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rollups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Rollups in two refreshes; the second one repeats a week of the first."""
+    """Rollups of all days in two refreshes; the second one repeats a week of the first."""
     root = work_dir(spark, "rollups")
     stored = tables.write_silver(_silver(spark, sf_dir), f"{root}/silver")
-    for first, last in (("2024-01-01", "2024-01-20"), ("2024-01-14", "2024-12-31")):
-        days = F.col("event_date").between(first, last)
+    half = "cast(datediff(max(event_date), min(event_date)) div 2 as int)"
+    low, middle, later, high = stored.agg(
+        F.min("event_date"), F.expr(f"date_add(min(event_date), {half})"),
+        F.expr(f"date_add(min(event_date), {half} + 6)"), F.max("event_date"),
+    ).first()
+    for first, last in ((low, later), (middle, high)):
+        days = F.col("event_date").between(F.lit(first), F.lit(last))
         rollups.refresh(stored.filter(days).drop("event_date"), root)
     return rollups.marts(spark, root, AS_OF)
 
@@ -435,15 +439,14 @@ def forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def forecast_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run's counts and parameters, appended to and read from the run log."""
+    """The run's metrics and parameters, appended to and read from the run log."""
     daily = _daily(spark, sf_dir)
     metrics = forecast.forecast_metrics(forecast.forecast_trend(daily), daily)
     schema = _bronze_schema(spark, "runs")
     tables.append_run(
         forecast.run_record(metrics, RUN_ID, forecast.RUN_PARAMS), f"{schema}.forecast_runs"
     )
-    log = source(spark, schema, "forecast_runs")
-    return log.filter(~F.col("name").isin("mae", "rmse"))
+    return source(spark, schema, "forecast_runs")
 
 
 @_register

@@ -122,8 +122,9 @@ def start_table_load(
     """Load each landing file exactly once into a Parquet dataset.
 
     The checkpoint remembers the files, so an hourly rerun reads new ones only.  A
-    micro-batch owns the folder ``load_id=<batch>`` and overwrites it, so a batch
-    repeated after a crash leaves one copy.
+    micro-batch owns the folder ``load_id=<query>-<batch>`` and overwrites it, so a batch
+    repeated after a crash leaves one copy; the query's id lives as long as its checkpoint,
+    so a load with a new checkpoint adds to what was loaded before.
     """
     reader = spark.readStream.option("recursiveFileLookup", "true").option(
         "pathGlobFilter", "*.json"
@@ -135,8 +136,9 @@ def start_table_load(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         conform(batch, schema).write.mode("overwrite").parquet(
-            f"{target_path}/load_id={batch_id}"
+            f"{target_path}/load_id={query}-{batch_id}"
         )
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

@@ -81,9 +81,9 @@ def test_dead_letters_keep_the_raw_text(spark, tmp_path):
 
 
 def test_table_load_takes_each_file_once(spark, tmp_path):
-    def run():
+    def run(checkpoint="ck", landing="in"):
         ingest.start_table_load(
-            spark, str(tmp_path / "in"), schemas.EVENT, str(tmp_path / "table"), str(tmp_path / "ck")
+            spark, str(tmp_path / landing), schemas.EVENT, str(tmp_path / "table"), str(tmp_path / checkpoint)
         ).awaitTermination()
         return sorted(r["event_id"] for r in spark.read.parquet(str(tmp_path / "table")).collect())
 
@@ -92,6 +92,9 @@ def test_table_load_takes_each_file_once(spark, tmp_path):
     assert run() == ["e1"]
     put(tmp_path / "in", "2.json", event(2))
     assert run() == ["e1", "e2"]
+    # A new checkpoint counts its batches from 0 again and replaces none of the old ones.
+    put(tmp_path / "more", "3.json", event(3))
+    assert run("fresh", "more") == ["e1", "e2", "e3"]
 
 
 def typed_stream(spark, path):
