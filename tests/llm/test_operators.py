@@ -69,6 +69,8 @@ def test_repeats_are_removed_as_by_brute_force(docs):
         kept = np.frombuffer(b, np.uint8)[~gone].tobytes()
         expected[i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
     assert found == expected
+    # Every anchor counted as a hot one.
+    assert rows_of(suffix_dedup.remove_repeats(docs, anchor_contexts=0).drop("kept")) == expected
 
 
 def test_packing_is_an_exact_round_trip(docs):
