@@ -5,10 +5,10 @@ not known backs off: to its known 4-grams (with word ends marked), else its 3-gr
 then 2-grams, then single characters.
 
 Words and n-grams are counted by Spark over a sample of labelled rows that is at most
-``SAMPLE_ROWS`` per language in expectation, chosen by a hash of the id; the tables keep
-the ``MOST_WORDS`` and ``MOST_GRAMS`` most frequent entries, so what is broadcast is
-bounded at every input size.  Scoring reads every whole text, batch by batch, and
-shuffles nothing.
+``SAMPLE_ROWS`` per language in expectation, chosen by a hash of the id; every term of
+the sample is kept, so what is broadcast grows with the number of languages and the
+length of the sampled texts, not with the rows.  Scoring reads every whole text, batch
+by batch, and shuffles nothing.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is
 every text if nothing could be learned; equal scores go to the first language by name;
@@ -33,8 +33,6 @@ from listenlake.llm.common import stored, table
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 4000
-MOST_WORDS = 100_000
-MOST_GRAMS = 100_000
 LONGEST_GRAM = 4
 # Unseen words remembered per task with their scores.
 CACHE_WORDS = 200_000
@@ -67,27 +65,38 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Model:
-    """Log frequencies per language of words (size 0) and n-grams (their length)."""
+    """Frequencies per language of words (size 0) and n-grams (their length).
+
+    A term holds (language, count) only where it was seen; ``totals`` are per size.
+    """
 
     def __init__(self, langs: list[str], rows: list[tuple[str, int, str, int]]):
         self.langs = langs
         at = {lang: i for i, lang in enumerate(langs)}
-        counts: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(LONGEST_GRAM + 1)}
+        self.tables: dict[int, dict[str, tuple]] = {}
+        self.totals: dict[int, np.ndarray] = {}
         for lang, size, term, n in rows:
-            counts[size].setdefault(term, np.zeros(len(langs)))[at[lang]] += n
-        self.tables = {}
-        for size, terms in counts.items():
-            if terms:
-                totals = np.sum(list(terms.values()), axis=0) + 0.5 * len(terms)
-                self.tables[size] = {t: np.log((c + 0.5) / totals) for t, c in terms.items()}
+            terms = self.tables.setdefault(size, {})
+            terms[term] = (*terms.get(term, ()), (at[lang], n))
+            self.totals.setdefault(size, np.zeros(len(langs)))[at[lang]] += n
+        for size, terms in self.tables.items():
+            self.totals[size] += 0.5 * len(terms)
+
+    def _term_score(self, size: int, term: str) -> np.ndarray | None:
+        seen = self.tables.get(size, {}).get(term)
+        if seen is None:
+            return None
+        counts = np.zeros(len(self.langs))
+        for i, n in seen:
+            counts[i] += n
+        return np.log((counts + 0.5) / self.totals[size])
 
     def word_score(self, word: str) -> np.ndarray:
-        known = self.tables.get(0, {}).get(word)
+        known = self._term_score(0, word)
         if known is not None:
             return known
         for size in range(LONGEST_GRAM, 0, -1):
-            entries = self.tables.get(size, {})
-            hits = [entries[g] for g in grams(word, size) if g in entries]
+            hits = [h for g in grams(word, size) if (h := self._term_score(size, g)) is not None]
             if hits:
                 return np.mean(hits, axis=0)
         return np.zeros(len(self.langs))
@@ -111,14 +120,11 @@ class Model:
 
 
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model of bounded size from (doc_id, text, lang)."""
+    """A model of all terms of the sample from (doc_id, text, lang)."""
     usable = labelled.where("text is not null and lang is not null")
     terms = _sample(usable, sample_rows).select("lang", "text").mapInPandas(_count_terms, "lang string, size int, term string, n long")
     counted = stored(terms.groupBy("lang", "size", "term").agg(F.sum("n").alias("n")), "lang-terms")
-    ranked = [F.col("n").desc(), "lang", "size", "term"]
-    words = counted.where("size = 0").orderBy(*ranked).limit(MOST_WORDS)
-    pieces = counted.where("size > 0").orderBy(*ranked).limit(MOST_GRAMS)
-    rows = [(r["lang"], r["size"], r["term"], r["n"]) for r in words.collect() + pieces.collect()]
+    rows = [(r["lang"], r["size"], r["term"], r["n"]) for r in counted.toLocalIterator()]
     return Model(sorted({r[0] for r in rows}), rows)
 
 
