@@ -2,15 +2,17 @@
 
 The automaton holds all substrings of all template token lists.  A text is streamed
 through it word by word; each word gives the longest match that ends there.  Maximal
-matches of ``LEAST_MATCH`` words or more are chained into the template words they
-cover; a template covered to ``COVERED`` or more gives its label.  Base phrases are
+matches of ``LEAST_MATCH`` words or more, with every occurrence in a template, are
+chained by increasing place in text and template with gaps of at most ``MOST_GAP`` words;
+a template whose best chain covers ``COVERED`` or more of it gives its label and the
+chain's text spans (``label:first-last`` word, from 0).  Base phrases are
 found in the same pass: a phrase stands where the match is at least as long as the phrase and
 the phrase's state is the match's state or one of its suffixes.
 
 The automaton's size follows the templates, which are fixed; texts are read batch by
 batch, whole, and nothing is shuffled.
 
-Defined cases: a null or wordless text has no words, no labels and score 0; a null id
+Defined cases: a null or wordless text has no words, no labels, no spans and score 0; a null id
 stays null; repeated rows are scored alike; other columns are not read; an empty table
 gives an empty result.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from listenlake.llm.common import id_and_text, table
 
 LEAST_MATCH = 4
+MOST_GAP = 10
 COVERED = 0.8
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -58,22 +62,20 @@ def words_of(text: str) -> list[str]:
 class Automaton:
     """A generalised suffix automaton over token lists.
 
-    ``places`` of a state: template number to the end position of one occurrence there.
+    ``places`` of a state: template number and end position of every occurrence.
     """
 
     def __init__(self, templates: list[list[str]]):
         self.next, self.link, self.length = [{}], [-1], [0]
-        self.places: list[dict[int, int]] = [{}]
+        self.places: list[set[tuple[int, int]]] = [set()]
         for number, tokens in enumerate(templates):
             last = 0
             for end, token in enumerate(tokens):
                 last = self._extend(last, token)
-                state = last
-                while state > 0 and number not in self.places[state]:
-                    self.places[state][number] = end
-                    state = self.link[state]
+                for state in self.suffixes(last):
+                    self.places[state].add((number, end))
 
-    def _state(self, length: int, moves: dict, link: int, places: dict) -> int:
+    def _state(self, length: int, moves: dict, link: int, places: set) -> int:
         self.next.append(moves)
         self.link.append(link)
         self.length.append(length)
@@ -85,7 +87,7 @@ class Automaton:
         q = self.next[p][token]
         if self.length[q] == self.length[p] + 1:
             return q
-        clone = self._state(self.length[p] + 1, dict(self.next[q]), self.link[q], dict(self.places[q]))
+        clone = self._state(self.length[p] + 1, dict(self.next[q]), self.link[q], set(self.places[q]))
         self.link[q] = clone
         while p >= 0 and self.next[p].get(token) == q:
             self.next[p][token] = clone
@@ -95,7 +97,7 @@ class Automaton:
     def _extend(self, last: int, token: str) -> int:
         if token in self.next[last]:
             return self._split(last, token)
-        made = self._state(self.length[last] + 1, {}, 0, {})
+        made = self._state(self.length[last] + 1, {}, 0, set())
         p = last
         while p >= 0 and token not in self.next[p]:
             self.next[p][token] = made
@@ -144,40 +146,80 @@ class Scanner:
             hits = [states[s] for s in self.automaton.suffixes(state) if s in states]
             if hits:
                 self.phrases[state] = hits
+        # Of a state: (template, end, words that match there at most), shorter matches included.
+        self.reach = [self._reach(state) for state in range(len(self.automaton.next))]
+
+    def _reach(self, state: int) -> list[tuple[int, int, int]]:
+        most: dict[tuple[int, int], int] = {}
+        for s in self.automaton.suffixes(state):
+            for number, end in self.automaton.places[s]:
+                if number < len(self.texts) and self.automaton.length[s] >= LEAST_MATCH:
+                    most.setdefault((number, end), self.automaton.length[s])
+        return [(*place, size) for place, size in most.items()]
 
     def scan(self, text: str) -> tuple:
         words = words_of(text)
-        starts, base, spans = [], set(), {}
-        previous = None
+        starts, base = [], set()
+        # Matches per template as [first word, first template word, length]; ``open_at`` has
+        # the last one of every diagonal.
+        matches: dict[int, list[list[int]]] = {}
+        open_at: dict[tuple[int, int], list[int]] = {}
         for at, state, length in self.automaton.statistics(words):
             for size, label in self.phrases.get(state, ()):
                 if length >= size:
                     starts.append(at - size + 1)
                     base.add(label)
-            # A match that the next word does not lengthen is maximal.
-            if previous and not (at == previous[0] + 1 and length == previous[2] + 1):
-                self._chain(previous, spans)
-            previous = (at, state, length)
-        if previous:
-            self._chain(previous, spans)
-        cover = {n: len(s) / len(self.texts[n]) for n, s in spans.items()}
-        found = base | {self.labels[n] for n, c in cover.items() if c >= COVERED}
+            if length < LEAST_MATCH:
+                continue
+            for number, end, most in self.reach[state]:
+                match = open_at.get((number, at - end))
+                if match and match[0] + match[2] == at:
+                    match[2] += 1
+                else:
+                    size = min(length, most)
+                    match = [at - size + 1, end - size + 1, size]
+                    open_at[number, at - end] = match
+                    matches.setdefault(number, []).append(match)
+        chains = {n: _best_chain(found) for n, found in matches.items()}
+        cover = {n: covered / len(self.texts[n]) for n, (covered, _) in chains.items()}
+        whole = [n for n, c in cover.items() if c >= COVERED]
+        found = base | {self.labels[n] for n in whole}
+        spans = sorted({(first, last, self.labels[n]) for n in whole for first, last in chains[n][1]})
         score = 1.0 if base else max(cover.values(), default=0.0)
         return (
             len(words), len(starts), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base)), ",".join(sorted(found)), score,
+            ",".join(f"{label}:{first}-{last}" for first, last, label in spans),
         )
 
-    def _chain(self, match: tuple[int, int, int], spans: dict[int, set]) -> None:
-        _, state, length = match
-        if length >= LEAST_MATCH:
-            for number, end in self.automaton.places[state].items():
-                if number < len(self.texts):
-                    spans.setdefault(number, set()).update(range(end - length + 1, end + 1))
+
+def _best_chain(matches: list[list[int]]) -> tuple[int, list[tuple[int, int]]]:
+    """Template words of the best chain of one template's matches, and its text spans."""
+    matches = sorted(matches, key=lambda m: (m[0] + m[2], m[0]))
+    covered, before = [], []
+    for i, (at, place, size) in enumerate(matches):
+        best, link = size, -1
+        for j in range(i - 1, -1, -1):
+            at_j, place_j, size_j = matches[j]
+            gap, skipped = at - at_j - size_j, place - place_j - size_j
+            if gap > MOST_GAP:
+                break
+            new = size + min(0, gap, skipped)
+            if at_j < at and place_j < place and skipped <= MOST_GAP and new > 0 and covered[j] + new > best:
+                best, link = covered[j] + new, j
+        covered.append(best)
+        before.append(link)
+    spans, i = [], int(np.argmax(covered))
+    most = covered[i]
+    while i >= 0:
+        spans.append((matches[i][0], matches[i][0] + matches[i][2] - 1))
+        i = before[i]
+    return most, spans[::-1]
 
 
 _RESULT = (
-    "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
+    "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
+    "spans string"
 )
 
 
