@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from listenlake.llm import (
     exact_dedup,
+    jaccard_join,
     language_id,
     license_scan,
     mixing,
     packing,
+    periodic_runs,
+    prefix_trie,
     simhash,
     sketches,
     suffix_dedup,
@@ -33,9 +36,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": mixing.op8_mixing,
         "op9_warc": warc.op9_warc,
         "op10_language_id": language_id.op10_language_id,
+        "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+        "op12_jaccard_join": jaccard_join.op12_jaccard_join,
+        "op13_prefix_trie": prefix_trie.op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {
+        "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op11_periodic_runs": periodic_runs.ORACLE_SQL,
+        "op12_jaccard_join": jaccard_join.ORACLE_SQL,
+        "op13_prefix_trie": prefix_trie.ORACLE_SQL,
+    }
