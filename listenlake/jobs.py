@@ -2,7 +2,7 @@
 
     ingest    messages (Kafka topic or text files) to the clean and quarantine zones
     archive   the same messages, unparsed, into date/hour folders
-    load      landing zones into the bronze tables; a rerun adds nothing
+    load      new files of the landing zones into the bronze tables, after a quality gate
     build     bronze to stored silver, quality gate, gold tables
     refresh   the same for some event days only, by way of daily totals
     forecast  daily plays from stored silver, seven days ahead
@@ -44,12 +44,14 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--clean", required=True)
     job.add_argument("--quarantine", required=True)
     job.add_argument("--schema", default="bronze")
+    job.add_argument("--no-gate", action="store_true", help="publish whatever the checks find")
     for name in ("build", "refresh"):
         job = jobs.add_parser(name)
         job.add_argument("--bronze", default="bronze")
-        job.add_argument("--silver", required=True, help="path of stored silver")
+        job.add_argument("--silver", required=True, help="root of the lake: silver, marts and releases")
         job.add_argument("--gold", default="gold")
         job.add_argument("--as-of")
+        job.add_argument("--no-gate", action="store_true", help="publish whatever the checks find")
         if name == "refresh":
             job.add_argument("--rollups", required=True, help="path of the daily totals")
             job.add_argument("--first", required=True, help="first event day")
@@ -86,16 +88,16 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
             )
         query.awaitTermination()
     elif args.job == "load":
-        medallion.load_landing(spark, args.clean, args.quarantine, args.schema)
+        medallion.load_landing(spark, args.clean, args.quarantine, args.schema, gate=not args.no_gate)
     elif args.job == "build":
         bronze = source(spark, args.bronze, "listening_events").drop("event_date")
-        medallion.build_lake(spark, bronze, args.silver, args.gold, args.as_of, as_tables=True)
+        medallion.build_lake(spark, bronze, args.silver, args.gold, args.as_of, as_tables=True, gate=not args.no_gate)
     elif args.job == "refresh":
         bronze = source(spark, args.bronze, "listening_events")
-        marts = medallion.refresh_days(
-            spark, bronze, args.first, args.last, args.silver, args.rollups, args.as_of
+        medallion.refresh_days(
+            spark, bronze, args.first, args.last, args.silver, args.rollups, args.as_of,
+            gate=not args.no_gate, gold_schema=args.gold,
         )
-        medallion.save_all(spark, marts, args.gold)
     else:
         silver = read_silver(spark, args.silver)
         run_id = args.run_id or uuid.uuid4().hex

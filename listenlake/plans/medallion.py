@@ -8,13 +8,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from listenlake import schemas
 from listenlake.operators import gold, preferences, quality, star, trends
 from listenlake.operators.silver import silver_events, silver_quarantine
 from listenlake.plans import rollups
-from listenlake.sinks import tables
-from listenlake.sources.landing import read_ndjson
+from listenlake.sinks import loads, releases, tables
 
 GOLD: dict[str, Callable[[DataFrame], DataFrame]] = {
     "top_songs": gold.top_songs,
@@ -27,7 +27,7 @@ GOLD: dict[str, Callable[[DataFrame], DataFrame]] = {
     "user_loyalty": gold.user_loyalty,
     "dim_users": gold.dim_users,
     "dim_songs": gold.dim_songs,
-    "dim_date": gold.dim_date,
+    "dim_date": star.keyed_dim_date,
     "dim_devices": gold.dim_devices,
     "fact_play_events": star.fact_play_events,
     "preferred_device": preferences.preferred_device,
@@ -47,16 +47,54 @@ def gold_marts(
     return marts
 
 
-def load_landing(spark: SparkSession, clean_path: str, quarantine_path: str, bronze: str) -> None:
-    """Both landing zones into the bronze schema; a repeated run adds nothing."""
+BRONZE_RULES = [
+    quality.NotNull("timestamp") if r == quality.NotNull("event_ts") else r for r in quality.SILVER_RULES
+]
+
+
+def load_landing(
+    spark: SparkSession, clean_path: str, quarantine_path: str, bronze: str, gate: bool = True
+) -> str | None:
+    """What is new in both landing zones into the bronze schema; the load's id.
+
+    Only files that no load has read yet are parsed, and an event id is stored once
+    whatever its day.  Both zones and the ledger become visible together; a failed check
+    leaves the schema's views and the ledger as they were, and the next run takes the
+    same files again.  Without new files nothing is written.
+    """
     tables.ensure_schema(spark, bronze)
-    tables.load_bronze(
-        read_ndjson(spark, clean_path, schemas.CLEAN_LANDING), f"{bronze}.listening_events"
-    )
-    tables.load_bronze_quarantine(
-        read_ndjson(spark, quarantine_path, schemas.QUARANTINE_LANDING),
-        f"{bronze}.listening_events_quarantine",
-    )
+    events, rejects = f"{bronze}.listening_events", f"{bronze}.listening_events_quarantine"
+    loads.ensure_target(spark, events, schemas.EVENT, "event_date", "event_id")
+    loads.ensure_target(spark, rejects, schemas.QUARANTINE, "rejected_date")
+    # The driver holds the names of the new files, as any scan of them does.
+    clean, dirty = (loads.new_files(spark, bronze, p).collect() for p in (clean_path, quarantine_path))
+    if not clean and not dirty:
+        return None
+    load_id = loads.new_load()
+    if clean:
+        landed = loads.read_files(spark, clean, schemas.CLEAN_LANDING)
+        loads.stage(tables.bronze_rows(landed), events, load_id, "event_date", "event_id")
+    if dirty:
+        landed = loads.read_files(spark, dirty, schemas.QUARANTINE_LANDING)
+        loads.stage(tables.bronze_quarantine_rows(landed), rejects, load_id, "rejected_date")
+    loads.record_files(spark, bronze, load_id, clean + dirty)
+    if gate:
+        quality.enforce(quality.dq_report(loads.staged(spark, events, load_id), BRONZE_RULES))
+    loads.commit(spark, bronze, load_id)
+    return load_id
+
+
+# Silver, rollups, facts and rejects are laid out by event day; marts are replaced as a whole.
+DAY = "event_date"
+
+
+def _dated(silver: DataFrame) -> DataFrame:
+    return silver.withColumn(DAY, F.to_date("event_ts"))
+
+
+def _in(rows: DataFrame) -> StructType:
+    """The columns of a dated dataset, the day last."""
+    return StructType([f for f in rows.schema.fields if f.name != DAY] + [StructField(DAY, DateType())])
 
 
 def build_lake(
@@ -69,34 +107,53 @@ def build_lake(
     gate: bool = True,
     at_once: int = 4,
 ) -> dict[str, DataFrame]:
-    """Bronze to gold: store silver once, check it, then publish every mart.
+    """Bronze to gold: write silver, check it, build the marts, then publish all at once.
 
-    Silver is stored as Parquet by day before the marts read it; a view would parse
-    bronze again for each of them.  A failed check stops the job before a mart is
-    replaced.  ``at_once`` marts are submitted at a time, so that the small last
-    tasks of one do not leave the cluster idle.
+    ``silver_path`` is the root of the lake, which holds its releases (``sinks.releases``).
+    Silver is a new version that nobody reads until the checks have passed; a failed check
+    or task leaves silver and every mart as they were.  Tables are built from rollups, so
+    silver is read once per rollup and for the fact table.  ``at_once`` datasets are written
+    at a time, so that the small last tasks of one do not leave the cluster idle.
     """
-    silver = tables.write_silver(silver_events(bronze_events), silver_path)
+    base = releases.current(spark, silver_path)
+    changed = {"silver": releases.stage(_dated(silver_events(bronze_events)), silver_path, "silver", DAY)}
+    silver = releases.read(spark, releases.candidate(base, changed), "silver", tables.STORED_SILVER)
     if gate:
         quality.enforce(quality.dq_report(silver))
-    marts = gold_marts(silver, as_of, ordered=not as_tables)
-    marts["quarantine_events"] = silver_quarantine(bronze_events)
     if not as_tables:
+        releases.publish(spark, base, changed)
+        marts = gold_marts(silver, as_of)
+        marts["quarantine_events"] = silver_quarantine(bronze_events)
         return {name: tables.save_view(df, f"{gold_schema}_{name}") for name, df in marts.items()}
-    return save_all(spark, marts, gold_schema, at_once)
+    undated = silver.drop(DAY)
+    dated = {name: rollups.totals(undated, *grain) for name, grain in rollups.GRAIN.items()}
+    dated["fact_play_events"] = _dated(star.fact_play_events(undated))
+    dated["quarantine_events"] = silver_quarantine(bronze_events).withColumn(DAY, tables.day_of(F.col("timestamp")))
+    changed |= _staged(dated, silver_path, DAY, at_once)
+    return _publish_marts(spark, base, changed, dated, silver_path, gold_schema, as_of, at_once)
 
 
-def save_all(
-    spark: SparkSession, marts: dict[str, DataFrame], schema: str, at_once: int = 4
-) -> dict[str, DataFrame]:
-    """Replace the tables of ``schema`` that the marts name."""
-    tables.ensure_schema(spark, schema)
+def _staged(frames: dict[str, DataFrame], root: str, by: str | None, at_once: int) -> dict[str, list[str]]:
     with ThreadPoolExecutor(at_once) as pool:
-        stored = pool.map(
-            lambda item: (item[0], tables.save_table(item[1], f"{schema}.{item[0]}")),
-            marts.items(),
-        )
-        return dict(stored)
+        written = pool.map(lambda item: (item[0], releases.stage(item[1], root, item[0], by)), frames.items())
+        return dict(written)
+
+
+def _publish_marts(
+    spark: SparkSession, base: releases.Release, changed: dict[str, list[str]], dated: dict[str, DataFrame],
+    root: str, gold_schema: str, as_of: str | date | None, at_once: int,
+) -> dict[str, DataFrame]:
+    """Build the marts over the staged rollups, switch the pointer, let the catalog follow."""
+    draft = releases.candidate(base, changed)
+    rolled = {name: releases.read(spark, draft, name, _in(dated[name])) for name in rollups.GRAIN}
+    marts = rollups.marts_of(rolled, as_of, ordered=False)
+    release = releases.publish(spark, base, changed | _staged(marts, root, None, at_once))
+    tables.ensure_schema(spark, gold_schema)
+    shown = {name: None for name in marts} | {"fact_play_events": DAY, "quarantine_events": DAY}
+    for name, by in shown.items():
+        frame = marts[name] if name in marts else dated[name]
+        releases.point_table(spark, release, name, f"{gold_schema}.{name}", frame, by)
+    return {name: spark.table(f"{gold_schema}.{name}") for name in shown}
 
 
 def refresh_days(
@@ -108,16 +165,38 @@ def refresh_days(
     rollup_root: str,
     as_of: str | date | None = None,
     gate: bool = True,
+    gold_schema: str | None = None,
+    at_once: int = 4,
 ) -> dict[str, DataFrame]:
     """Bring silver and the rollups up to date for some event days, then give the marts.
 
     ``bronze_table`` is laid out by ``event_date``: only these days are read, parsed,
-    checked and counted again, and they replace what was stored for them before.
+    checked and counted again.  Their new versions take the place of what the last release
+    names for them, also where a day has no events any more; a failed check changes
+    nothing.  With ``gold_schema`` the marts are part of the same release and become its
+    tables, the same that ``build_lake`` makes.
     """
-    days = F.col("event_date").between(first, last)
-    fresh = silver_events(bronze_table.filter(days).drop("event_date"))
-    stored = tables.write_silver(fresh, silver_path, only_given_days=True).filter(days)
+    base = releases.current(spark, silver_path)
+    days = F.col(DAY).between(first, last)
+    fresh = _dated(silver_events(bronze_table.filter(days).drop(DAY)))
+    staged = releases.stage(fresh, silver_path, "silver", DAY)
+    checked = releases.read(spark, releases.Release(base.root, 0, {"silver": staged}), "silver", tables.STORED_SILVER)
     if gate:
-        quality.enforce(quality.dq_report(stored))
-    rollups.refresh(stored.drop("event_date"), rollup_root)
-    return rollups.marts(spark, rollup_root, as_of)
+        quality.enforce(quality.dq_report(checked))
+    undated = checked.drop(DAY)
+    dated = {name: rollups.totals(undated, *grain) for name, grain in rollups.GRAIN.items()}
+    parts = {"silver": staged} | _staged(dated, rollup_root, DAY, at_once)
+    if gold_schema:
+        # Events without a valid time lie under the day that stands for none.
+        rejects = silver_quarantine(bronze_table.filter(days | (F.col(DAY) == F.lit(tables.NO_DAY).cast("date"))))
+        facts = {"fact_play_events": _dated(star.fact_play_events(undated)), "quarantine_events": rejects}
+        dated |= facts
+        parts |= _staged(facts, silver_path, DAY, at_once)
+    changed = {name: releases.replaced(base.folders.get(name, []), new, DAY, first, last) for name, new in parts.items()}
+    if gold_schema:
+        timeless = [f for f in changed["quarantine_events"] if releases.part(f, DAY) != tables.NO_DAY]
+        changed["quarantine_events"] = timeless + [f for f in parts["quarantine_events"] if releases.part(f, DAY) == tables.NO_DAY]
+        return _publish_marts(spark, base, changed, dated, silver_path, gold_schema, as_of, at_once)
+    release = releases.publish(spark, base, changed)
+    rolled = {name: releases.read(spark, release, name, _in(dated[name])) for name in rollups.GRAIN}
+    return rollups.marts_of(rolled, as_of)

@@ -273,12 +273,45 @@ weeks AS (
 _ZONE_ROWS = 'event_id, user_id, song_id, "timestamp", zone, _reject_reason'
 
 
-_GOLD_MARTS = [
-    "top_songs", "user_engagement", "artist_performance", "churn_risk", "country_stats",
-    "peak_hours", "playlist_conversion", "user_loyalty", "dim_users", "dim_songs", "dim_date",
-    "dim_devices", "fact_play_events", "preferred_device", "country_top_device",
-    "song_trend_weekly", "song_skip_rate",
-]
+_MART_SUMS = """
+top_songs: total_plays total_skips
+user_engagement: plays skips playlist_adds
+artist_performance: total_plays total_skips skip_rate unique_listeners
+churn_risk: days_inactive skip_rate
+country_stats: total_plays unique_users
+peak_hours: hour total_events
+playlist_conversion: plays playlist_adds conversion_rate
+user_loyalty: active_days
+user_loyalty_monthly: active_days
+dim_users: age
+dim_songs: duration_seconds
+dim_date: hour day_of_week
+dim_devices:
+daily_plays: y
+listening_overview: total_plays total_skips total_playlist_adds active_users
+song_skip_rate: total_skips skip_rate
+preferred_device: events
+country_top_device: events
+song_trend_weekly: plays previous_plays change
+weekly_top_songs: plays place
+fact_play_events: date_key
+quarantine_events: age
+"""
+
+
+def _mart_sums(sql: dict[str, str]) -> list[str]:
+    """Per mart its rows and a hundred times the sum of each measure."""
+    selects = []
+    for line in _MART_SUMS.split("\n")[1:-1]:
+        mart, measures = line.split(":")
+        totals = ", ".join(["count(*)", *[f"CAST(round(sum({m} * 100)) AS BIGINT)" for m in measures.split()]])
+        names = ", ".join(f"'{m}'" for m in ["rows", *measures.split()])
+        query = sql["silver_quarantine" if mart == "quarantine_events" else mart]
+        selects.append(
+            f"SELECT mart, unnest(measures) AS measure, unnest(totals) AS total FROM"
+            f" (SELECT '{mart}' AS mart, [{names}] AS measures, [{totals}] AS totals FROM ({query}))"
+        )
+    return selects
 
 
 def oracle_sql() -> dict[str, str]:
@@ -330,6 +363,16 @@ def oracle_sql() -> dict[str, str]:
             " SELECT event_id, 2 * count(*) AS copies FROM zoned WHERE zone = 'clean'"
             " GROUP BY event_id"
         ),
+        "bronze_load_redelivered": _zoned(f" SELECT {_EVENT} FROM zoned WHERE zone = 'clean'"),
+        "bronze_load_incremental": _zoned("""
+            SELECT CAST(event_id AS BIGINT) % 3 AS part, CAST(1 AS BIGINT) AS files,
+              count(*) AS events, count(*) AS ids
+            FROM zoned WHERE zone = 'clean' GROUP BY 1"""),
+        "refresh_emptied_day": _silver(f"""
+            SELECT CAST(event_ts AS DATE) AS event_date, count(*) AS events, {_n("play")} AS plays
+            FROM silver WHERE CAST(event_ts AS DATE) <> DATE '2024-01-12'
+              AND (CAST(event_ts AS DATE) <> DATE '2024-01-13' OR CAST(event_id AS BIGINT) % 2 = 0)
+            GROUP BY 1"""),
         "quarantine_load_twice": _zoned(
             f" SELECT {_LEGACY}, _reject_reason FROM zoned WHERE zone = 'quarantine'"
         ),
@@ -553,12 +596,8 @@ def oracle_sql() -> dict[str, str]:
     }
     sql["rollup_churn_risk"] = sql["churn_risk"]
     sql["rollup_artist_performance"] = sql["artist_performance"]
-    marts = {
-        "quarantine_events": "silver_quarantine",
-        **{name: name for name in _GOLD_MARTS},
-    }
-    sql["gold_build"] = "\nUNION ALL\n".join(
-        f"SELECT '{mart}' AS mart, count(*) AS \"rows\" FROM ({sql[query]})"
-        for mart, query in marts.items()
+    sql["gold_build"] = "\nUNION ALL\n".join(_mart_sums(sql))
+    sql["publish_after_gate"] = "\nUNION ALL\n".join(
+        [*_mart_sums(sql), f"SELECT 'silver' AS mart, 'rows' AS measure, count(*) AS total FROM ({sql['silver_events']})"]
     )
     return sql

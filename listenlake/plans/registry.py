@@ -233,6 +233,41 @@ def bronze_load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def bronze_load_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files loaded, then some events delivered anew under another day: each id stays
+    as it came first."""
+    schema, root = _bronze_schema(spark, "redelivered"), work_dir(spark, "landing")
+    first = validate.clean(_parsed(spark, sf_dir))
+    landing_sink.write_ndjson(first, f"{root}/clean")
+    medallion.load_landing(spark, f"{root}/clean", f"{root}/none", schema)
+    moved = F.regexp_replace("timestamp", "^2024-01-0", "2024-02-0")
+    again = first.where(F.col("event_id").cast("bigint") % 7 == 0).withColumn("timestamp", moved)
+    landing_sink.write_ndjson(again, f"{root}/clean", ["country"])
+    for _ in range(2):
+        medallion.load_landing(spark, f"{root}/clean", f"{root}/none", schema)
+    return source(spark, schema, "listening_events").drop("event_date")
+
+
+@_register
+def bronze_load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four hourly runs, the last without anything new: what each read and stored."""
+    schema, root = _bronze_schema(spark, "hourly"), work_dir(spark, "landing")
+    clean = validate.clean(_parsed(spark, sf_dir))
+    part = F.col("event_id").cast("bigint") % 3
+    for hour in range(4):
+        if hour < 3:
+            # Each run also delivers the events of the run before once more.
+            due = clean.where((part == hour) | (part == hour - 1)).coalesce(1)
+            landing_sink.write_ndjson(due, f"{root}/clean")
+        medallion.load_landing(spark, f"{root}/clean", f"{root}/none", schema)
+    rows = spark.table(f"{schema}.listening_events_rows").groupBy("load_id").agg(
+        F.min(part).alias("part"), F.count(F.lit(1)).alias("events"), F.count_distinct("event_id").alias("ids")
+    )
+    files = spark.table(f"{schema}.loaded_files").groupBy("load_id").agg(F.count_distinct("path").alias("files"))
+    return rows.join(files, "load_id").select("part", "files", "events", "ids")
+
+
 @_register
 def quarantine_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = _bronze_schema(spark, "rejects")
@@ -332,18 +367,76 @@ def catalog_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Per mart of a build the columns whose sums are compared, besides its rows.
+MART_SUMS = {
+    "top_songs": ["total_plays", "total_skips"], "user_engagement": ["plays", "skips", "playlist_adds"],
+    "artist_performance": ["total_plays", "total_skips", "skip_rate", "unique_listeners"],
+    "churn_risk": ["days_inactive", "skip_rate"], "country_stats": ["total_plays", "unique_users"],
+    "peak_hours": ["hour", "total_events"], "playlist_conversion": ["plays", "playlist_adds", "conversion_rate"],
+    "user_loyalty": ["active_days"], "user_loyalty_monthly": ["active_days"], "dim_users": ["age"],
+    "dim_songs": ["duration_seconds"], "dim_date": ["hour", "day_of_week"], "dim_devices": [], "daily_plays": ["y"],
+    "listening_overview": ["total_plays", "total_skips", "total_playlist_adds", "active_users"], "song_skip_rate": ["total_skips", "skip_rate"],
+    "preferred_device": ["events"], "country_top_device": ["events"], "song_trend_weekly": ["plays", "previous_plays", "change"],
+    "weekly_top_songs": ["plays", "place"], "fact_play_events": ["date_key"], "quarantine_events": ["age"],
+}
+
+
+def _mart_sums(built: dict[str, DataFrame]) -> DataFrame:
+    """(mart, measure, total): rows, and per measure a hundred times its sum as a whole number."""
+    def of_mart(name: str) -> DataFrame:
+        sums = [F.struct(F.lit(c).alias("measure"), F.round(F.sum(F.col(c) * 100)).cast("bigint").alias("total")) for c in MART_SUMS[name]]
+        rows = F.struct(F.lit("rows").alias("measure"), F.count(F.lit(1)).alias("total"))
+        return built[name].agg(F.array(rows, *sums).alias("all")).select(F.lit(name).alias("mart"), F.inline("all"))
+
+    return reduce(DataFrame.unionByName, [of_mart(name) for name in MART_SUMS])
+
+
 @_register
 def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze to stored silver to all marts as tables; rows per mart."""
+    """Bronze to a published lake with all marts as tables; rows and sums of each."""
     schema = _bronze_schema(spark, "gold")
     built = medallion.build_lake(
-        spark, _bronze(spark, sf_dir), work_dir(spark, "silver"), schema, AS_OF, as_tables=True
+        spark, _bronze(spark, sf_dir), work_dir(spark, "lake"), schema, AS_OF, as_tables=True
     )
-    counts = [
-        df.agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("rows"))
-        for name, df in built.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return _mart_sums(built)
+
+
+@_register
+def publish_after_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake is built, then two jobs over dirty events fail their checks: what was published stays."""
+    schema, lake = _bronze_schema(spark, "published"), work_dir(spark, "lake")
+    medallion.build_lake(spark, _bronze(spark, sf_dir), lake, schema, AS_OF, as_tables=True)
+    dirty = testdata.with_foreign_types(testdata.with_copies(_bronze(spark, sf_dir)))
+    dated = dirty.withColumn("event_date", tables.day_of(F.col("timestamp")))
+    for job in (
+        lambda: medallion.build_lake(spark, dirty, lake, schema, AS_OF, as_tables=True),
+        lambda: medallion.refresh_days(
+            spark, dated, "2024-01-10", "2024-01-20", lake, f"{lake}/rollups", AS_OF, gold_schema=schema
+        ),
+    ):
+        try:
+            job()
+            raise RuntimeError("the gate let dirty events through")
+        except quality.QualityError:
+            pass
+    shown = _mart_sums({name: source(spark, schema, name) for name in MART_SUMS})
+    silver = tables.read_silver(spark, lake).agg(F.lit("silver").alias("mart"), F.lit("rows").alias("measure"), F.count(F.lit(1)).alias("total"))
+    return shown.unionByName(silver)
+
+
+@_register
+def refresh_emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake refreshed in two steps, then once more for days of which one has lost all events
+    and another half of them: (event_date, events, plays) from silver and from a mart."""
+    schema, lake = _bronze_schema(spark, "emptied"), work_dir(spark, "lake")
+    dated = _bronze(spark, sf_dir).withColumn("event_date", tables.day_of(F.col("timestamp")))
+    day = F.col("event_date")
+    corrected = dated.where((day != "2024-01-12") & ((day != "2024-01-13") | (F.col("event_id").cast("bigint") % 2 == 0)))
+    for rows, first, last in ((dated, "2024-01-01", "2024-01-15"), (dated, "2024-01-14", "2024-02-29"), (corrected, "2024-01-11", "2024-01-13")):
+        medallion.refresh_days(spark, rows, first, last, lake, f"{lake}/rollups", AS_OF, gold_schema=schema)
+    events = tables.read_silver(spark, lake).groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
+    plays = source(spark, schema, "daily_plays").select(F.col("ds").alias("event_date"), F.col("y").alias("plays"))
+    return events.join(plays, "event_date", "full")
 
 
 def _rollups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -6,8 +6,8 @@ totals only.  A day that is delivered again, or corrected, is simply refreshed
 again.
 
 ========================  ===================================================
-``user_day``              user, device, country, day
-``song_day``              song, day
+``user_day``              user, device, country, subscription, age, day
+``song_day``              song, genre, duration, day
 ``country_hour``          country, hour
 ``artist_user_day``       artist, user, day
 ========================  ===================================================
@@ -24,17 +24,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenlake.functions.measures import EVENTS, TOTALS
-from listenlake.operators import gold, preferences, trends
+from listenlake.operators import gold, preferences, star, trends
 
 GRAIN: dict[str, tuple[list[str], str]] = {
-    "user_day": (["user_id", "device_type", "country"], "day"),
-    "song_day": (gold.SONG, "day"),
+    "user_day": (["user_id", "device_type", "country", "subscription_type", "age"], "day"),
+    "song_day": ([*gold.SONG, "genre", "duration_seconds"], "day"),
     "country_hour": (["country"], "hour"),
     "artist_user_day": (["artist_name", "user_id"], "day"),
 }
 
 
-def _totals(silver: DataFrame, keys: list[str], unit: str) -> DataFrame:
+def totals(silver: DataFrame, keys: list[str], unit: str) -> DataFrame:
     moment: Column = F.date_trunc(unit, "event_ts").alias("event_ts")
     return (
         silver.groupBy(*keys, moment)
@@ -56,7 +56,7 @@ def refresh(silver_days: DataFrame, root: str) -> None:
     """
     for name, (keys, unit) in GRAIN.items():
         (
-            _totals(silver_days, keys, unit)
+            totals(silver_days, keys, unit)
             .hint("rebalance", "event_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -70,23 +70,26 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def marts(spark: SparkSession, root: str, as_of: str | date | None = None) -> dict[str, DataFrame]:
+    """The marts over the rollups stored below ``root``."""
+    return marts_of({name: read(spark, root, name) for name in GRAIN}, as_of)
+
+
+def marts_of(rolled: dict[str, DataFrame], as_of: str | date | None = None, ordered: bool = True) -> dict[str, DataFrame]:
     """The marts that totals are enough for, with the same rows as over silver."""
-    user_day = read(spark, root, "user_day")
-    song_day = read(spark, root, "song_day")
-    country_hour = read(spark, root, "country_hour")
+    user_day, song_day, country_hour = (rolled[n] for n in ("user_day", "song_day", "country_hour"))
     return {
         "top_songs": gold.top_songs(song_day, TOTALS),
-        "user_engagement": gold.user_engagement(user_day, TOTALS),
-        "artist_performance": gold.artist_performance(
-            read(spark, root, "artist_user_day"), TOTALS
-        ),
+        "user_engagement": gold.user_engagement(user_day, TOTALS, ordered),
+        "artist_performance": gold.artist_performance(rolled["artist_user_day"], TOTALS),
         "churn_risk": gold.churn_risk(user_day, as_of, TOTALS),
         "country_stats": gold.country_stats(user_day, TOTALS),
         "peak_hours": gold.peak_hours(country_hour, TOTALS),
         "playlist_conversion": gold.playlist_conversion(song_day, TOTALS),
         "user_loyalty": gold.user_loyalty(user_day),
         "user_loyalty_monthly": gold.user_loyalty_monthly(user_day),
-        "dim_date": gold.dim_date(country_hour),
+        "dim_users": gold.dim_users(user_day),
+        "dim_songs": gold.dim_songs(song_day),
+        "dim_date": star.keyed_dim_date(country_hour),
         "dim_devices": gold.dim_devices(user_day),
         "daily_plays": gold.daily_plays(country_hour, TOTALS),
         "listening_overview": gold.listening_overview(user_day, TOTALS),

@@ -11,7 +11,8 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from listenlake import schemas
 from listenlake.operators.conform import to_bronze, to_bronze_quarantine, to_legacy_bronze
-from listenlake.operators.dedup import dedup_events, fold, unfold
+from listenlake.operators.dedup import fold, unfold
+from listenlake.sinks import loads, releases
 
 # Day of rows whose time is missing or does not parse.
 NO_DAY = "1970-01-01"
@@ -45,14 +46,10 @@ def save_table(df: DataFrame, table: str, partition_by: str | None = None) -> Da
     return df.sparkSession.table(table)
 
 
-def _day_of(ts: Column) -> Column:
+def day_of(ts: Column) -> Column:
     return F.coalesce(F.to_date(F.try_to_timestamp(ts)), F.lit(NO_DAY).cast("date"))
 
 
-def _with_day_column(schema: StructType, day: str) -> StructType:
-    return StructType(schema.fields + [StructField(day, DateType(), True)])
-
-
 def _balanced(df: DataFrame, column: str) -> DataFrame:
     """Gather a folder's rows in few tasks before a partitioned write; AQE splits the
     days that are too large for one task and merges the small ones."""
@@ -64,78 +61,64 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*names).write.mode("append").insertInto(table)
 
 
-def append_new_rows(
-    df: DataFrame, table: str, day: str, keys: list[str], folded: bool = False
-) -> None:
-    """Append only rows that ``table`` does not hold yet.
-
-    ``df`` must hold few rows per key: both sides of the comparison are then free of
-    hot keys, as the stored side is reduced to distinct keys map-side.
+def held_days(spark: SparkSession, table: str, day: str, incoming: DataFrame) -> DataFrame:
+    """The rows of ``table`` on the days that ``incoming`` has rows for.
 
-    A repeated row has the same day, so only the partitions of the incoming days are
-    read: the list of days is short (calendar days of one load) and goes into the
-    partition filter.  NULL keys compare equal.  The incoming rows are used twice
-    and kept (memory, then disk) until they are written; for an empty table the
-    comparison is left out.
+    The first and last of these days prune the folders; the days themselves stay a relation.
     """
-    spark = df.sparkSession
-    whole = unfold if folded else (lambda rows: rows)
-    if spark.table(table).isEmpty():
-        append_rows(_balanced(whole(df), day), table)
-        return
-    incoming = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        held = held_days(spark, table, day, incoming)
-        old = held.select(day, *keys).distinct().alias("old")
-        same = reduce(
-            lambda a, b: a & b,
-            [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys],
-            F.col(f"new.{day}") == F.col(f"old.{day}"),
-        )
-        fresh = incoming.alias("new").join(old, same, "left_anti")
-        append_rows(_balanced(whole(fresh), day), table)
-    finally:
-        incoming.unpersist()
+    real = F.when(F.col(day) != F.lit(NO_DAY).cast("date"), F.col(day))
+    first, last = incoming.agg(F.min(real), F.max(real)).first()
+    within = F.col(day).between(F.lit(first), F.lit(last)) | (F.col(day) == F.lit(NO_DAY).cast("date"))
+    return spark.table(table).where(within).join(incoming.select(day).distinct(), day, "left_semi")
 
 
-def held_days(spark: SparkSession, table: str, day: str, incoming: DataFrame) -> DataFrame:
-    """The rows of ``table`` on the days that ``incoming`` has rows for."""
-    days = [r[0] for r in incoming.select(day).distinct().collect()]
-    return spark.table(table).filter(F.col(day).isin(days))
+def bronze_rows(landing: DataFrame) -> DataFrame:
+    """The 17 event fields with the event day."""
+    return to_bronze(landing).withColumn("event_date", day_of(F.col("timestamp")))
+
+
+def bronze_quarantine_rows(landing: DataFrame) -> DataFrame:
+    """The 11 columns of rejected events with the day of rejection."""
+    return to_bronze_quarantine(landing).withColumn("rejected_date", day_of(F.col("_rejected_at")))
 
 
 def load_bronze(landing: DataFrame, table: str, once: bool = True) -> None:
     """Load clean events into the bronze table in bulk, creating it if needed.
 
-    With ``once`` a repeated load adds nothing and an event id is stored one time.
-    Without it every row is appended, and reruns make copies.  The table keeps the
-    17 event fields, laid out by ``event_date``.
+    With ``once`` an event id is stored one time, whatever its day and whichever load
+    brings it; rows without an id are all stored.  Without it every row is appended, and
+    reruns make copies.  ``table`` shows the 17 event fields and ``event_date``, by which
+    it is laid out.
     """
-    rows = to_bronze(landing).withColumn("event_date", _day_of(F.col("timestamp")))
-    schema = _with_day_column(schemas.EVENT, "event_date")
-    ensure_table(landing.sparkSession, table, schema, "event_date")
-    if once:
-        append_new_rows(dedup_events(rows), table, "event_date", ["event_id"])
-    else:
-        append_rows(_balanced(rows, "event_date"), table)
+    spark, load_id = landing.sparkSession, loads.new_load()
+    loads.ensure_target(spark, table, schemas.EVENT, "event_date", "event_id")
+    loads.stage(bronze_rows(landing), table, load_id, "event_date", "event_id", once)
+    loads.commit(spark, loads.schema_of(table), load_id)
 
 
 def load_bronze_quarantine(landing: DataFrame, table: str, once: bool = True) -> None:
     """Load rejected events (11 columns), laid out by the day of rejection.
 
-    Rejected rows may lack every key, so ``once`` compares all columns.
+    Rejected rows may lack every key, so ``once`` compares all columns with those that
+    are stored for the same days; equal rows of one load all stay.
     """
-    rows = to_bronze_quarantine(landing).withColumn(
-        "rejected_date", _day_of(F.col("_rejected_at"))
-    )
-    schema = _with_day_column(schemas.QUARANTINE, "rejected_date")
-    ensure_table(landing.sparkSession, table, schema, "rejected_date")
+    spark, load_id = landing.sparkSession, loads.new_load()
+    loads.ensure_target(spark, table, schemas.QUARANTINE, "rejected_date")
+    rows = bronze_quarantine_rows(landing)
     if once:
-        append_new_rows(
-            fold(rows), table, "rejected_date", schemas.QUARANTINE_COLUMNS, folded=True
-        )
+        # Equal rows are folded per task first: both sides are then free of hot keys.
+        folded = fold(rows).persist(StorageLevel.MEMORY_AND_DISK)
+        keys = ["rejected_date", *schemas.QUARANTINE_COLUMNS]
+        old = held_days(spark, table, "rejected_date", folded).select(*keys).distinct().alias("old")
+        same = reduce(lambda a, b: a & b, [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys])
+        try:
+            rows = unfold(folded.alias("new").join(old, same, "left_anti"))
+            loads.stage(rows, table, load_id, "rejected_date")
+        finally:
+            folded.unpersist()
     else:
-        append_rows(_balanced(rows, "rejected_date"), table)
+        loads.stage(rows, table, load_id, "rejected_date")
+    loads.commit(spark, loads.schema_of(table), load_id)
 
 
 def load_legacy_bronze(landing: DataFrame, table: str) -> None:
@@ -162,9 +145,15 @@ def write_silver(silver: DataFrame, path: str, only_given_days: bool = False) ->
     return read_silver(silver.sparkSession, path)
 
 
+STORED_SILVER = StructType(schemas.SILVER.fields + [StructField("event_date", DateType(), True)])
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    stored = StructType(schemas.SILVER.fields + [StructField("event_date", DateType(), True)])
-    return spark.read.schema(stored).parquet(path)
+    """Stored silver: of a published lake what its release names, else the files there."""
+    release = releases.current(spark, path)
+    if release.number:
+        return releases.read(spark, release, "silver", STORED_SILVER)
+    return spark.read.schema(STORED_SILVER).parquet(path)
 
 
 def append_run(record: DataFrame, table: str) -> None:

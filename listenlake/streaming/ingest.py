@@ -8,12 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from listenlake.operators.conform import conform
+from listenlake.operators.dedup import dedup_events
 from listenlake.operators.parse import expand_json, parse_with_contract
 from listenlake.operators.validate import split, with_zone
 from listenlake.sinks.landing import with_ingest_hour
+from listenlake.sources.landing import has_files
 
 # Trigger intervals of the two zones.
 CLEAN_TRIGGER = "30 seconds"
@@ -118,13 +120,15 @@ def start_table_load(
     checkpoint: str,
     trigger: str | None = None,
     max_files_per_trigger: int | None = None,
+    key: str | None = "event_id",
 ) -> StreamingQuery:
-    """Load each landing file exactly once into a Parquet dataset.
+    """Load each landing file exactly once, and each ``key`` once, into a Parquet dataset.
 
     The checkpoint remembers the files, so an hourly rerun reads new ones only.  A
     micro-batch owns the folder ``load_id=<query>-<batch>`` and overwrites it, so a batch
-    repeated after a crash leaves one copy; the query's id lives as long as its checkpoint,
-    so a load with a new checkpoint adds to what was loaded before.
+    repeated after a crash leaves one copy; the query's id lives as long as its checkpoint.
+    A new checkpoint reads the landing files once more, and what they bring again is found
+    by its key: of the stored rows only that column is read.  Rows without a key all stay.
     """
     reader = spark.readStream.option("recursiveFileLookup", "true").option(
         "pathGlobFilter", "*.json"
@@ -134,12 +138,19 @@ def start_table_load(
     rows = expand_json(
         reader.text(landing_path), F.col("value"), schema, [], drop_undecodable=True
     )
+    layout = StructType([*schema.fields, StructField("load_id", StringType())])
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        conform(batch, schema).write.mode("overwrite").parquet(
-            f"{target_path}/load_id={query}-{batch_id}"
-        )
+        session = batch.sparkSession
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_id = f"{query}-{batch_id}"
+        fresh = conform(batch, schema)
+        if key:
+            fresh = dedup_events(fresh, key)
+            if has_files(session, target_path):
+                others = session.read.schema(layout).parquet(target_path).where(F.col("load_id") != load_id)
+                fresh = fresh.join(others.select(key), key, "left_anti").select(*schema.fieldNames())
+        fresh.write.mode("overwrite").parquet(f"{target_path}/load_id={load_id}")
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()

@@ -130,7 +130,7 @@ def test_load_reads_only_the_touched_days(spark, bronze_of):
     incoming = bronze_of({"timestamp": "2024-01-03T00:00:00Z"}).selectExpr(
         "*", "to_date(timestamp) AS event_date"
     )
-    held = tables.held_days(spark, table, "event_date", incoming)
+    held = tables.held_days(spark, f"{table}_rows", "event_date", incoming)
     assert held.count() == 1
     scan = held._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan
