@@ -11,36 +11,30 @@ from listenlake.functions.measures import skips
 BOT_SKIPS = 20
 BOT_SECONDS = 60
 
-_SLICE = 3600
 
 
 def skip_bursts(
     silver: DataFrame, threshold: int = BOT_SKIPS, seconds: int = BOT_SECONDS
 ) -> DataFrame:
-    """Per skipping user the largest number of skips in any ``seconds`` window.
-
-    The window ends at a skip and starts ``seconds`` whole seconds earlier.  Skips
-    are first counted per user and second.  A user's seconds are then cut into
-    one-hour slices, and the last seconds of a slice are also given to the next one
-    as context.  A window partition therefore never exceeds one hour of seconds,
-    even for a user who makes a third of all events.  The context rows see too few
-    skips in the foreign slice, but the maximum takes their full sum from their own.
+    """Per skipping user the largest number of skips in any window of ``seconds``.
+
+    A window ends at a skip and reaches back less than ``seconds``, to the microsecond.
+    Skips are first counted per user and moment.  A user's moments are then cut into
+    slices of ``seconds``, each of which is also given to the next one as context, so a
+    window partition never exceeds two slices, even for a user who makes a third of
+    all events.  The context rows see too few skips in the foreign slice, but the
+    maximum takes their full sum from their own.
     """
-    if seconds > _SLICE:
-        raise ValueError(f"seconds must not exceed {_SLICE}")
-    per_second = (
+    width = seconds * 1_000_000
+    per_moment = (
         silver.filter(F.col("event_type") == "skip")
-        .groupBy("user_id", F.unix_seconds("event_ts").alias("second"))
+        .groupBy("user_id", F.unix_micros("event_ts").alias("moment"))
         .agg(skips().alias("n"))
     )
-    within = F.pmod("second", F.lit(_SLICE))
-    own = F.col("second") - within
-    near_end = within >= _SLICE - seconds
-    sliced = per_second.withColumn(
-        "slice", F.explode(F.when(near_end, F.array(own, own + _SLICE)).otherwise(F.array(own)))
-    )
+    own = F.floor(F.col("moment") / width)
+    sliced = per_moment.withColumn("slice", F.explode(F.array(own, own + 1)))
     window = (
-        Window.partitionBy("user_id", "slice").orderBy("second").rangeBetween(-seconds, 0)
+        Window.partitionBy("user_id", "slice").orderBy("moment").rangeBetween(1 - width, 0)
     )
     peak = F.max("in_window")
     return (

@@ -314,6 +314,22 @@ def _mart_sums(sql: dict[str, str]) -> list[str]:
     return selects
 
 
+# Skips of each user in the minute up to each skip, to the microsecond.
+_PEAKS = """SELECT user_id, CAST(max(n) AS BIGINT) AS peak_skips, max(n) >= 20 AS is_bot
+  FROM (SELECT user_id, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(event_ts)
+          RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW) AS n
+        FROM skipped WHERE event_type = 'skip')
+  GROUP BY user_id"""
+
+_BURSTS = """
+skipped AS (
+  SELECT user_id, event_type, CASE WHEN CAST(user_id AS BIGINT) % 7 = 0 THEN event_ts + to_microseconds(
+      i * [2500000, 3157894, 3200000][CAST(CAST(user_id AS BIGINT) % 3 AS INTEGER) + 1]) ELSE event_ts END AS event_ts
+  FROM silver, range(25) AS r(i)
+  WHERE event_type = 'skip' AND (i = 0 OR CAST(user_id AS BIGINT) % 7 = 0)
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "bronze_events": _bronze(f" SELECT {_EVENT} FROM bronze"),
@@ -487,13 +503,9 @@ def oracle_sql() -> dict[str, str]:
         "star_plays_by_genre": _silver(f"""
             SELECT genre, extract(dow FROM event_ts) IN (0, 6) AS is_weekend,
               {_n("play")} AS plays FROM silver GROUP BY 1, 2"""),
-        "skip_bursts": _silver("""
-            SELECT user_id, CAST(max(n) AS BIGINT) AS peak_skips, max(n) >= 20 AS is_bot
-            FROM (SELECT user_id, count(*) OVER (PARTITION BY user_id
-                    ORDER BY CAST(floor(epoch(event_ts)) AS BIGINT)
-                    RANGE BETWEEN 60 PRECEDING AND CURRENT ROW) AS n
-                  FROM silver WHERE event_type = 'skip')
-            GROUP BY user_id"""),
+        "skip_bursts": _silver(f" {_PEAKS}".replace("skipped", "silver")),
+        "skip_bursts_bot": _silver(f" {_PEAKS}", _BURSTS),
+        "stream_skip_bots": _silver(f" SELECT user_id FROM ({_PEAKS}) WHERE is_bot", _BURSTS),
         "song_keys": _silver("""
             SELECT song_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3)
               || '-' || ['8', '9', 'a', 'b'][(strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1]
@@ -572,13 +584,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_zones_two_queries": _zoned(f" SELECT {_ZONE_ROWS} FROM zoned"),
         "stream_table_load": _zoned(f" SELECT {_EVENT} FROM zoned WHERE zone = 'clean'"),
         "stream_plays_per_minute": _silver(f"""
-            SELECT * FROM (
-              SELECT CAST(date_trunc('minute', event_ts) AS TIMESTAMP) AS window_start,
-                CAST(date_trunc('minute', event_ts) AS TIMESTAMP) + INTERVAL 1 MINUTE
-                  AS window_end,
-                {_n("play")} AS plays
-              FROM silver GROUP BY 1, 2)
-            WHERE window_end <= (SELECT max(event_ts) - INTERVAL 10 MINUTE FROM silver)"""),
+            SELECT CAST(date_trunc('minute', event_ts) AS TIMESTAMP) AS window_start,
+              CAST(date_trunc('minute', event_ts) AS TIMESTAMP) + INTERVAL 1 MINUTE AS window_end,
+              {_n("play")} AS plays
+            FROM silver GROUP BY 1, 2"""),
         "stream_skip_windows": _silver("""
             SELECT user_id, window_start, window_start + INTERVAL 60 SECOND AS window_end,
               count(*) AS skips, count(*) >= 20 AS is_bot
@@ -586,9 +595,6 @@ def oracle_sql() -> dict[str, str]:
                     - back * INTERVAL 30 SECOND AS window_start
                   FROM silver CROSS JOIN (VALUES (0), (1)) AS b(back)
                   WHERE event_type = 'skip')
-            WHERE window_start + INTERVAL 60 SECOND
-              <= (SELECT max(event_ts) - INTERVAL 10 MINUTE FROM silver
-                  WHERE event_type = 'skip')
             GROUP BY user_id, window_start"""),
         "stream_unique_events": _silver(
             " SELECT * EXCLUDE (album_name) FROM silver"

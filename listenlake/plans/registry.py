@@ -627,14 +627,53 @@ def stream_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/bronze").drop("load_id")
 
 
+def _drain_closed(
+    spark: SparkSession, silver: DataFrame, label: str, operator: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Run an operator over a stream that ends: all there is, then the closing marker."""
+    root = work_dir(spark, label)
+    marks = windows.open_marker_folder(spark, f"{root}/marks")
+    result = operator(windows.with_closing_marker(silver, marks))
+    for closing in (False, True):
+        if closing:
+            windows.close(spark, marks)
+        _finish(
+            result.writeStream.format("parquet")
+            .option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    return spark.read.schema(result.schema).parquet(f"{root}/out")
+
+
 @_register
 def stream_plays_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drain(windows.plays_per_minute(_silver_stream(spark, sf_dir)), spark, "minutes")
+    return _drain_closed(spark, _silver_stream(spark, sf_dir), "minutes", windows.plays_per_minute)
 
 
 @_register
 def stream_skip_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drain(windows.skip_windows(_silver_stream(spark, sf_dir)), spark, "skips")
+    return _drain_closed(spark, _silver_stream(spark, sf_dir), "skips", windows.skip_windows)
+
+
+@_register
+def skip_bursts_bot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bursts among users of whom some skip at a bot's pace and some just below it."""
+    return anomalies.skip_bursts(testdata.with_bursts(_silver(spark, sf_dir)))
+
+
+@_register
+def stream_skip_bots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as a stream in several micro-batches, files in no order of time."""
+    root = work_dir(spark, "bots")
+    events = testdata.with_bursts(_silver(spark, sf_dir))
+    skips = events.filter(F.col("event_type") == "skip").select("user_id", "event_type", "event_ts")
+    skips.repartition(5, "event_ts").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(skips.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    # The files are shuffled, so the watermark has to wait for the whole month.
+    return _drain(windows.skip_bots(stream, lateness="60 days"), spark, "flags").select("user_id")
 
 
 @_register

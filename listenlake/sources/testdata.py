@@ -43,7 +43,6 @@ FROM (
 ) e
 JOIN {part} p ON e.part_key = p.p_partkey
 JOIN {customer} c ON e.cust_key = c.c_custkey
-JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 """
 
 _schemas: dict[str, StructType] = {}
@@ -77,7 +76,7 @@ def events_stream(
 def bronze(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """17-column bronze events; pass ``events`` to use a stream in place of the table.
 
-    The three joins carry no broadcast hint: Spark broadcasts a dimension only
+    The two joins carry no broadcast hint: Spark broadcasts a dimension only
     when its measured size is below the threshold, and otherwise shuffles with
     AQE splitting the hot song and user keys.
     """
@@ -88,7 +87,6 @@ def bronze(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) ->
         events=events,
         part=table(spark, sf_dir, "part"),
         customer=table(spark, sf_dir, "customer"),
-        nation=table(spark, sf_dir, "nation"),
     )
 
 
@@ -111,6 +109,21 @@ def with_foreign_types(bronze_events: DataFrame) -> DataFrame:
     )
 
 
+def with_bursts(silver: DataFrame) -> DataFrame:
+    """Silver in which some users skip in series: every skip of theirs comes 25 times.
+
+    Steps of 2.5 seconds put 24 skips into less than a minute, steps of 3.158 seconds exactly 20,
+    and steps of 3.2 seconds only 19.
+    """
+    number = F.col("user_id").cast("bigint")
+    step = F.element_at(F.array(F.lit(2_500_000), F.lit(3_157_894), F.lit(3_200_000)), (number % 3 + 1).cast("int"))
+    bursts = (F.col("event_type") == "skip") & (number % 7 == 0)
+    series = F.when(bursts, F.sequence(F.lit(0), F.lit(24))).otherwise(F.array(F.lit(0)))
+    rows = silver.withColumn("_at", F.explode(series))
+    moved = F.timestamp_micros(F.unix_micros("event_ts") + F.col("_at") * step)
+    return rows.withColumn("event_ts", F.when(bursts, moved).otherwise(F.col("event_ts"))).drop("_at")
+
+
 def messages(bronze_events: DataFrame, damaged: bool = False) -> DataFrame:
     """Events as a message log delivers them: binary JSON plus an arrival time.
 

@@ -6,13 +6,19 @@ busy minute sends one row per task.  The watermark bounds the state.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from listenlake.functions.measures import plays, skips
 from listenlake.operators.anomalies import BOT_SECONDS, BOT_SKIPS
 
 LATENESS = "10 minutes"
+_MARK = "event_ts timestamp, event_type string"
 
 
 def plays_per_minute(
@@ -40,8 +46,8 @@ def skip_windows(
 
     The watermark follows the skips, not the other events.
 
-    A slide of half the width puts a skip into two windows.  The batch operator
-    ``anomalies.skip_bursts`` looks at every window position.
+    A slide of half the width puts a skip into two windows.  ``skip_bots`` and the batch
+    operator ``anomalies.skip_bursts`` look at every window position.
     """
     counted = (
         silver.filter(F.col("event_type") == "skip")
@@ -75,3 +81,81 @@ def unique_events(
         marked = marked.withColumn("_spread", spread)
         marked = marked.dropDuplicatesWithinWatermark([key, "_spread"]).drop("_spread")
     return marked.dropDuplicatesWithinWatermark([key])
+
+
+def _flag_bots(threshold: int, seconds: int):
+    width = seconds * 1_000_000
+
+    def flag(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        times, is_bot = state.get if state.exists else ([], False)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held = np.array(times, dtype=np.int64)
+        for chunk in chunks:
+            if is_bot:
+                continue
+            held = np.sort(np.concatenate([held, chunk["moment"].to_numpy(np.int64)]))
+            ends = held[threshold - 1 :]
+            close = np.flatnonzero(ends - held[: len(ends)] < width)
+            if len(close):
+                is_bot = True
+                yield pd.DataFrame({"user_id": [key[0]], "moment": [int(ends[close[0]])]})
+        if is_bot:
+            state.update(([], True))
+            return
+        # What still comes is not older than the watermark, so a window reaches back no farther.
+        oldest = state.getCurrentWatermarkMs() * 1000 - width
+        state.update((held[held > oldest].tolist(), False))
+        state.setTimeoutTimestamp(max(int(held[-1]) // 1000 + seconds * 1000, state.getCurrentWatermarkMs() + 1))
+
+    return flag
+
+
+def skip_bots(
+    silver: DataFrame, threshold: int = BOT_SKIPS, seconds: int = BOT_SECONDS, lateness: str = LATENESS
+) -> DataFrame:
+    """Users with ``threshold`` skips in less than ``seconds``, each once: (user_id, flagged_at).
+
+    Every window position counts, also across micro-batches and for skips that arrive out of
+    order within the watermark.  A user's state holds the skip times that a window may still
+    reach, fewer than ``threshold`` per window, or no more than the flag.  A user's rows pass
+    by in bounded chunks.
+    """
+    skipped = (
+        silver.filter((F.col("event_type") == "skip") & F.col("user_id").isNotNull())
+        .withWatermark("event_ts", lateness)
+        .select("user_id", "event_ts", F.unix_micros("event_ts").alias("moment"))
+    )
+    flagged = skipped.groupBy("user_id").applyInPandasWithState(
+        _flag_bots(threshold, seconds), "user_id string, moment long", "times array<long>, is_bot boolean",
+        "append", GroupStateTimeout.EventTimeTimeout,
+    )
+    return flagged.select("user_id", F.timestamp_micros("moment").alias("flagged_at"))
+
+
+def with_closing_marker(silver: DataFrame, folder: str) -> DataFrame:
+    """The stream together with a second source, ``folder``, into which ``close`` puts a marker.
+
+    A watermark trails the last event, so windows at the end of a stream that stops are
+    never closed.  A marker in the far future moves the watermark past all of them.
+    """
+    spark = silver.sparkSession
+    marks = spark.readStream.schema(_MARK).parquet(folder)
+    return silver.unionByName(marks, allowMissingColumns=True)
+
+
+def open_marker_folder(spark: SparkSession, folder: str) -> str:
+    """An empty marker folder: a file source needs its path."""
+    spark.createDataFrame([], _MARK).write.mode("append").parquet(folder)
+    return folder
+
+
+def close(spark: SparkSession, folder: str, at: str = "9999-01-01 00:00:00") -> None:
+    """End the stream: run the query once more on its checkpoint, and all windows are emitted.
+
+    Only for a stream to which nothing is added afterwards: it would all be late.
+    """
+    # A skip by nobody: it moves the watermark of skips too, and its own window stays open.
+    marker = spark.range(1).select(F.lit(at).cast("timestamp").alias("event_ts"), F.lit("skip").alias("event_type"))
+    marker.coalesce(1).write.mode("append").parquet(folder)

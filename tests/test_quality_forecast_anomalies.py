@@ -133,7 +133,7 @@ def brute_bursts(events, seconds):
     peaks = {}
     for user in {u for u, _ in events}:
         times = sorted(s for u, s in events if u == user)
-        peaks[user] = max(sum(1 for x in times if t - seconds <= x <= t) for t in times)
+        peaks[user] = max(sum(1 for x in times if t - seconds < x <= t) for t in times)
     return peaks
 
 

@@ -154,3 +154,38 @@ def test_ending_of_one_query_stops_the_others(spark, tmp_path):
     )
     ingest.await_any(spark, list(queries))
     assert not any(q.isActive for q in queries)
+
+
+def at(second, micros=0):
+    return f"2024-01-01T{second // 3600:02d}:{second // 60 % 60:02d}:{second % 60:02d}.{micros:06d}Z"
+
+
+def test_bots_are_flagged_at_every_window_position(spark, tmp_path):
+    """Bursts across micro-batches, across two slides, out of order; 19 skips or 60 seconds are none."""
+    n = iter(range(10_000))
+
+    def skips(user, times):
+        return [silver_line(next(n), at(*(t if isinstance(t, tuple) else (t,))), "skip", user) for t in times]
+
+    across = [15 + 3 * i for i in range(20)]  # 57 seconds, in no window that starts at a half minute
+    edge = [(100, 0), *[(130, i) for i in range(18)], (160, 0)]  # the first and last are 60 seconds apart
+    inside = [(100, 0), *[(130, i) for i in range(18)], (159, 999_999)]
+    put(tmp_path / "in", "1.json", *skips("across", across[:7]), *skips("late", range(200, 210)), *skips("person", range(19)),
+        *skips("edge", edge), *skips("inside", inside[:4]), *skips("hot", [50] * 3000), *skips("apart", range(0, 10)))
+    put(tmp_path / "in", "2.json", *skips("across", across[7:]), *skips("inside", inside[4:]), *skips("late", range(260, 262)), *skips("apart", range(600, 619)))
+    put(tmp_path / "in", "3.json", *skips("late", range(210, 221)), *skips("hot", [51] * 50), silver_line(next(n), at(999), "play", "person"))
+    got = drain(spark, windows.skip_bots(typed_stream(spark, tmp_path / "in")), tmp_path).collect()
+    assert sorted(r["user_id"] for r in got) == ["across", "hot", "inside", "late"]
+
+
+def test_closing_marker_emits_the_last_windows(spark, tmp_path):
+    put(tmp_path / "in", "1.json", silver_line(1, at(10)), silver_line(2, at(70), "skip"), silver_line(3, at(130)))
+    marks = windows.open_marker_folder(spark, str(tmp_path / "marks"))
+    for operator, name in ((windows.plays_per_minute, "a"), (windows.skip_windows, "b")):
+        df = operator(windows.with_closing_marker(typed_stream(spark, tmp_path / "in"), marks))
+        open_ = drain(spark, df, tmp_path / name).count()
+        windows.close(spark, marks)
+        closed = drain(spark, df, tmp_path / name)
+        assert (open_, closed.count()) == {"a": (0, 3), "b": (0, 2)}[name]
+        assert closed.where("window_start > '2025-01-01'").count() == 0
+        marks = windows.open_marker_folder(spark, str(tmp_path / "marks2"))
