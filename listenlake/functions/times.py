@@ -8,9 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A whole date, with or without a time of day and an offset.  Spark alone would also take
+# '10:00' as a time of today and '2024' as the first of January.
+_ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+
+
 def parse_event_ts(text: Column) -> Column:
-    """Timestamp of an ISO text, NULL (never an error) when it does not parse."""
-    return F.try_to_timestamp(text)
+    """Timestamp of an ISO text, NULL (never an error) when it is none."""
+    return F.when(text.rlike(_ISO), F.try_to_timestamp(text))
 
 
 def weekday(ts: Column) -> Column:

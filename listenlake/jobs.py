@@ -14,6 +14,7 @@ import argparse
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from listenlake.operators.parse import parse_messages
 from listenlake.plans import forecasting, medallion
@@ -40,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
         if name == "ingest":
             job.add_argument("--strict", action="store_true", help="blank ids count as missing")
             job.add_argument("--by-country", action="store_true")
+            job.add_argument("--two-queries", action="store_true", help="each zone at its own pace; the job ends if one does")
+            job.add_argument("--dead-letters", help="folder for messages that break the contract, with their text")
     job = jobs.add_parser("load")
     job.add_argument("--clean", required=True)
     job.add_argument("--quarantine", required=True)
@@ -74,19 +77,38 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return kafka_stream(spark, options)
 
 
+def _start_zones(args: argparse.Namespace, messages: DataFrame, trigger: str | None) -> list[StreamingQuery]:
+    parsed, out, checkpoint = parse_messages(messages), args.out.rstrip("/"), args.checkpoint.rstrip("/")
+    if args.two_queries:
+        queries = list(ingest.start_zone_queries(
+            parsed, f"{out}/zone=clean", f"{out}/zone=quarantine", f"{checkpoint}/clean", f"{checkpoint}/quarantine",
+            trigger, trigger and ingest.QUARANTINE_TRIGGER, strict=args.strict,
+            partition_clean_by=["country"] if args.by_country else None,
+        ))
+    else:
+        queries = [ingest.start_zones_single_scan(
+            parsed, out, f"{checkpoint}/zones" if args.dead_letters else checkpoint, trigger, strict=args.strict, by_country=args.by_country,
+        )]
+    if args.dead_letters:
+        letters = trigger and ingest.QUARANTINE_TRIGGER
+        queries.append(ingest.start_dead_letters(messages, args.dead_letters, f"{checkpoint}/dead-letters", letters))
+    return queries
+
+
 def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     if args.job in ("ingest", "archive"):
         trigger = None if args.once else ingest.CLEAN_TRIGGER
         messages = _messages(spark, args)
         if args.job == "archive":
-            query = ingest.start_hourly_archive(messages, args.out, args.checkpoint, trigger)
+            queries = [ingest.start_hourly_archive(messages, args.out, args.checkpoint, trigger)]
+        else:
+            queries = _start_zones(args, messages, trigger)
+        if args.once:
+            for query in queries:
+                query.awaitTermination()
         else:
-            query = ingest.start_zones_single_scan(
-                parse_messages(messages), args.out, args.checkpoint, trigger,
-                strict=args.strict, by_country=args.by_country,
-            )
-        query.awaitTermination()
+            ingest.await_any(spark, queries)
     elif args.job == "load":
         medallion.load_landing(spark, args.clean, args.quarantine, args.schema, gate=not args.no_gate)
     elif args.job == "build":

@@ -80,3 +80,40 @@ def parse_with_contract(messages: DataFrame) -> DataFrame:
     return rows.select(
         *schemas.EVENT_COLUMNS, "kafka_ingest_time", "raw", violation.alias("violation")
     )
+
+
+# Names of the types a JSON value can have, by the start of its VARIANT schema.
+_JSON_TYPES = {
+    "OBJECT": "object", "ARRAY": "array", "STRING": "text", "BIGINT": "integer", "DECIMAL": "number",
+    "DOUBLE": "number", "BOOLEAN": "boolean", "VOID": "null",
+}
+
+
+def contract_drift(messages: DataFrame, contract: StructType = schemas.EVENT) -> DataFrame:
+    """What messages carry beside their contract: (key, seen_type, expected_type, rows).
+
+    Every key of every message is looked at as a VARIANT, so keys nobody listed, values of
+    another type and nested ones are found by name.  ``expected_type`` is NULL for a key that
+    the contract does not know; a text that is no JSON object has key NULL.  JSON nulls fit
+    any field.
+    """
+    spark = messages.sparkSession
+    text = F.col("value").cast("string")
+    # A generator keeps the text from being parsed once per use of ``v``.
+    parsed = messages.select(F.explode(F.array(F.try_parse_json(text))).alias("v"))
+    shape = F.schema_of_variant("v")
+    fits = F.coalesce(shape.startswith("OBJECT"), F.lit(False))
+    entries = spark.sql(
+        "SELECT e.key, schema_of_variant(e.value) AS shape FROM {objects} o, LATERAL variant_explode(o.v) e",
+        objects=parsed.filter(fits),
+    )
+    broken = parsed.filter(~fits).select(F.lit(None).cast("string").alias("key"), F.coalesce(F.schema_of_variant("v"), F.lit("none")).alias("shape"))
+    # Few (key, shape) pairs: counted map-side, then named.
+    seen = entries.unionByName(broken).groupBy("key", "shape").agg(F.count(F.lit(1)).alias("rows"))
+    kind = F.regexp_extract("shape", "^[A-Z]+", 0)
+    named = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in _JSON_TYPES.items()], F.lit("malformed"))
+    wanted = {f.name: "text" if isinstance(f.dataType, StringType) else "integer" for f in contract.fields}
+    expected = F.coalesce(*[F.when(F.col("key") == k, F.lit(v)) for k, v in wanted.items()])
+    typed = seen.select("key", named.alias("seen_type"), expected.alias("expected_type"), "rows")
+    strange = F.col("expected_type").isNull() | ~F.col("seen_type").isin("null") & (F.col("seen_type") != F.col("expected_type"))
+    return typed.filter(strange).groupBy("key", "seen_type", "expected_type").agg(F.sum("rows").alias("rows"))

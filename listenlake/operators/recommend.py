@@ -81,3 +81,52 @@ def recommend_songs(
         .join(songs, "song_index")
         .select("user_id", "song_id", "place", "score")
     )
+
+
+# Songs of a user above which the user's pairs are dealt over several tasks.
+HEAVY = 200
+NEIGHBOURS = 20
+_MICRO = 1_000_000
+
+
+def similar_songs(silver: DataFrame, neighbours: int = NEIGHBOURS, heavy: int = HEAVY) -> DataFrame:
+    """The nearest songs of each song: (song_id, other_id, similarity, place).
+
+    Similarity is the cosine of the two sets of listeners, in millionths, from the users
+    that both songs share.  A user with many songs is split: one block of songs meets all of
+    them per task.  Pairs are counted map-side before they shuffle, and only ``neighbours``
+    per song and task go on to the ranking.
+    """
+    heard = silver.filter(F.col("event_type") == "play").select("user_id", "song_id").distinct()
+    blocks = heard.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / heavy).alias("blocks"))
+    dealt = heard.join(blocks, "user_id")
+    left = dealt.select("user_id", "song_id", F.pmod(F.xxhash64("song_id"), "blocks").alias("block"))
+    right = dealt.select("user_id", F.col("song_id").alias("other_id"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"))
+    shared = (
+        left.join(right, ["user_id", "block"]).filter("song_id <> other_id")
+        .groupBy("song_id", "other_id").agg(F.count(F.lit(1)).alias("both"))
+    )
+    listeners = heard.groupBy("song_id").agg(F.count(F.lit(1)).alias("n"))
+    others = listeners.select(F.col("song_id").alias("other_id"), F.col("n").alias("m"))
+    scored = shared.join(listeners, "song_id").join(others, "other_id").select(
+        "song_id", "other_id", F.floor(F.col("both") * _MICRO / F.sqrt((F.col("n") * F.col("m")).cast("double"))).alias("similarity")
+    )
+    nearest = Window.partitionBy("song_id").orderBy(F.desc("similarity"), "other_id")
+    return scored.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= neighbours)
+
+
+def recommend_similar(silver: DataFrame, n: int = 5, neighbours: int = NEIGHBOURS, heavy: int = HEAVY) -> DataFrame:
+    """Per user the ``n`` best songs not played yet: (user_id, song_id, score, place).
+
+    Candidates are the neighbours of the songs a user plays, scored by the sum of their
+    similarities; no user meets the whole catalogue.
+    """
+    heard = silver.filter(F.col("event_type") == "play").select("user_id", "song_id").distinct()
+    near = similar_songs(silver, neighbours, heavy).select("song_id", "other_id", "similarity")
+    candidates = (
+        heard.join(near, "song_id").groupBy("user_id", F.col("other_id").alias("song_id"))
+        .agg(F.sum("similarity").alias("score"))
+        .join(heard, ["user_id", "song_id"], "left_anti")
+    )
+    best = Window.partitionBy("user_id").orderBy(F.desc("score"), "song_id")
+    return candidates.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= n)

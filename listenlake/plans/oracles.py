@@ -330,6 +330,26 @@ skipped AS (
 )"""
 
 
+# The twenty songs whose listeners are most alike: cosine in millionths.
+_NEAR = """
+heard AS (SELECT DISTINCT user_id, song_id FROM silver WHERE event_type = 'play'),
+listeners AS (SELECT song_id, count(*) AS n FROM heard GROUP BY song_id),
+shared AS (
+  SELECT a.song_id, b.song_id AS other_id, count(*) AS common
+  FROM heard a JOIN heard b ON a.user_id = b.user_id AND a.song_id <> b.song_id GROUP BY 1, 2
+),
+scored AS (
+  SELECT s.song_id, other_id,
+    CAST(floor(common * 1000000 / sqrt(CAST(x.n * y.n AS DOUBLE))) AS BIGINT) AS similarity
+  FROM shared s JOIN listeners x ON x.song_id = s.song_id JOIN listeners y ON y.song_id = s.other_id
+),
+near AS (
+  SELECT song_id, other_id, similarity, CAST(place AS INTEGER) AS place FROM (
+    SELECT *, row_number() OVER (PARTITION BY song_id ORDER BY similarity DESC, other_id) AS place FROM scored)
+  WHERE place <= 20
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "bronze_events": _bronze(f" SELECT {_EVENT} FROM bronze"),
@@ -389,6 +409,31 @@ def oracle_sql() -> dict[str, str]:
             FROM silver WHERE CAST(event_ts AS DATE) <> DATE '2024-01-12'
               AND (CAST(event_ts AS DATE) <> DATE '2024-01-13' OR CAST(event_id AS BIGINT) % 2 = 0)
             GROUP BY 1"""),
+        "contract_drift": _zoned("""
+            SELECT key, seen_type, expected_type, count(*) AS "rows" FROM (
+              SELECT CAST(NULL AS VARCHAR) AS key, 'malformed' AS seen_type, CAST(NULL AS VARCHAR) AS expected_type
+              FROM parsed WHERE cut
+              UNION ALL SELECT 'age', 'text', 'integer' FROM parsed WHERE mistyped
+              UNION ALL SELECT key, seen_type, NULL
+              FROM parsed JOIN (VALUES (11, 'mood', 'text'), (13, 'device', 'object'), (17, 'tags', 'array'),
+                (19, 'score', 'number'), (23, 'offline', 'boolean')) AS x(step, key, seen_type)
+                ON NOT cut AND CAST(event_id AS BIGINT) % step = 0)
+            GROUP BY 1, 2, 3"""),
+        "silver_timestamp_texts": _bronze("""
+            SELECT event_id, event_ts FROM (
+              SELECT *, CASE CAST(event_id AS BIGINT) % 10 WHEN 2 THEN TIMESTAMP '2024-01-05 00:00:00'
+                  WHEN 3 THEN TIMESTAMP '2024-01-05 10:00:00' WHEN 4 THEN TIMESTAMP '2024-01-05 03:00:00'
+                  WHEN 9 THEN try_cast("timestamp" AS TIMESTAMP) END AS event_ts
+              FROM bronze)
+            WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND song_id IS NOT NULL AND event_ts IS NOT NULL"""),
+        "similar_songs": _silver(" SELECT * FROM near", _NEAR),
+        "recommend_similar": _silver("""
+            SELECT user_id, song_id, score, CAST(place AS INTEGER) AS place FROM (
+              SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, song_id) AS place FROM (
+                SELECT user_id, other_id AS song_id, CAST(sum(similarity) AS BIGINT) AS score
+                FROM heard JOIN near ON near.song_id = heard.song_id GROUP BY 1, 2) c
+              WHERE NOT EXISTS (FROM heard h WHERE h.user_id = c.user_id AND h.song_id = c.song_id))
+            WHERE place <= 5""", _NEAR),
         "quarantine_load_twice": _zoned(
             f" SELECT {_LEGACY}, _reject_reason FROM zoned WHERE zone = 'quarantine'"
         ),

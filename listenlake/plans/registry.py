@@ -18,6 +18,7 @@ from listenlake.operators import (
     dedup,
     forecast,
     gold,
+    parse,
     preferences,
     quality,
     recommend,
@@ -150,6 +151,18 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_register
+def contract_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown keys, drifted types and unreadable texts among messages, by name and number."""
+    return parse.contract_drift(testdata.with_drift(testdata.messages(_bronze(spark, sf_dir), damaged=True)))
+
+
+@_register
+def silver_timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times of texts that are whole, cut, foreign or none."""
+    return silver_events(testdata.with_timestamp_texts(_bronze(spark, sf_dir))).select("event_id", "event_ts")
+
+
 @_register
 def ndjson_clean_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the clean zone as NDJSON and load it back into the bronze columns."""
@@ -350,6 +363,17 @@ def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.dedup_events(testdata.with_copies(_bronze(spark, sf_dir)))
 
 
+@_register
+def similar_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recommend.similar_songs(_silver(spark, sf_dir))
+
+
+@_register
+def recommend_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates from similar songs; users with many songs are split."""
+    return recommend.recommend_similar(_silver(spark, sf_dir), heavy=3)
+
+
 @_register
 def recommend_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.recommend_songs(_silver(spark, sf_dir))

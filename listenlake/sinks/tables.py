@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from listenlake import schemas
+from listenlake.functions.times import parse_event_ts
 from listenlake.operators.conform import to_bronze, to_bronze_quarantine, to_legacy_bronze
 from listenlake.operators.dedup import fold, unfold
 from listenlake.sinks import loads, releases
@@ -47,7 +48,7 @@ def save_table(df: DataFrame, table: str, partition_by: str | None = None) -> Da
 
 
 def day_of(ts: Column) -> Column:
-    return F.coalesce(F.to_date(F.try_to_timestamp(ts)), F.lit(NO_DAY).cast("date"))
+    return F.coalesce(F.to_date(parse_event_ts(ts)), F.lit(NO_DAY).cast("date"))
 
 
 def _balanced(df: DataFrame, column: str) -> DataFrame:

@@ -142,3 +142,31 @@ def messages(bronze_events: DataFrame, damaged: bool = False) -> DataFrame:
         F.try_to_timestamp(F.col("timestamp")), F.lit("2024-01-31 00:00:00").cast("timestamp")
     )
     return bronze_events.select(text.cast("binary").alias("value"), arrival.alias("timestamp"))
+
+
+def with_drift(sent: DataFrame) -> DataFrame:
+    """Messages of which some have a new key, a nested one, a fraction, a flag or a list."""
+    text = F.col("value").cast("string")
+    number = F.get_json_object(text, "$.event_id").try_cast("bigint")
+    extra = {
+        11: '"mood":"calm"', 13: '"device":{"os":"x","v":2}', 17: '"tags":["a",1]', 19: '"score":0.5', 23: '"offline":true',
+    }
+    fields = F.concat(*[F.when(number % step == 0, F.lit(f",{field}")).otherwise(F.lit("")) for step, field in extra.items()])
+    length = F.when(number % 29 == 0, F.lit(r'"duration_seconds":\d+')).otherwise(F.lit("^$"))
+    text = F.regexp_replace(text, length, F.lit('"duration_seconds":null'))
+    text = F.regexp_replace(text, F.lit(r"\}$"), F.concat(F.coalesce(fields, F.lit("")), F.lit("}")))
+    return sent.withColumn("value", text.cast("binary"))
+
+
+# Texts that stand in for event times, by event id modulo ten; every tenth keeps its own.
+TIMESTAMP_TEXTS = [
+    "10:00", "2024", "2024-01-05", "2024-01-05 10:00:00", "2024-01-05T10:00:00+07:00", "T10:00", "",
+    "2024-13-01T00:00:00Z", " 2024-01-05T10:00:00Z ",
+]
+
+
+def with_timestamp_texts(bronze_events: DataFrame) -> DataFrame:
+    """Bronze whose timestamps are whole, cut, foreign or no timestamps at all."""
+    place = (F.col("event_id").cast("bigint") % 10).cast("int")
+    text = F.get(F.array(*[F.lit(t) for t in TIMESTAMP_TEXTS]), place)
+    return bronze_events.withColumn("timestamp", F.coalesce(text, F.col("timestamp")))

@@ -71,3 +71,17 @@ def test_one_day_gives_no_forecast(spark, silver_of, capsys, tmp_path):
 def test_source_must_be_named(spark):
     with pytest.raises(SystemExit):
         jobs.run(spark, ["ingest", "--out", "o", "--checkpoint", "c"])
+
+
+def test_two_paces_and_dead_letters(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    texts = [message(1, 1), message(2, 1, user_id=None), "junk", message(3, 1, age="old")]
+    (tmp_path / "in/1.txt").write_text("\n".join(texts))
+    for extra in ([], ["--two-queries"]):
+        out = tmp_path / f"out{len(extra)}"
+        jobs.run(spark, ["ingest", "--files", str(tmp_path / "in"), "--out", str(out), "--checkpoint", str(tmp_path / f"ck{len(extra)}"),
+                         "--once", "--dead-letters", str(tmp_path / f"dead{len(extra)}"), *extra])
+        assert spark.read.json(str(out / "zone=clean")).count() == 2
+        assert spark.read.json(str(out / "zone=quarantine")).count() == 2
+        letters = {r["raw"]: r["violation"] for r in spark.read.json(str(tmp_path / f"dead{len(extra)}")).collect()}
+        assert letters == {texts[1]: "missing_user_id", "junk": "malformed_json", texts[3]: "wrong_type"}

@@ -121,3 +121,31 @@ def test_song_key_is_a_version_5_uuid(spark):
     got = [r[0] for r in df.select(song_key(F.col("artist"), F.col("song"))).collect()]
     assert got == [str(uuid.uuid5(uuid.NAMESPACE_DNS, f"{a}::{s}")) for a, s in pairs]
     assert got[0] == "d9070fa6-b525-5c7c-8d73-752cfedf184c"
+
+
+def test_contract_drift_names_every_key(spark):
+    from listenlake.operators.parse import contract_drift
+
+    texts = [
+        '{"event_id":"1","age":7,"mood":"x"}', '{"event_id":2,"age":null,"device":{"a":{"b":1}}}', '{"age":7.5,"tags":[]}',
+        '{"age":true,"mood":"y"}', '{"age":"7"}', "junk", "", None, "[1]", "null", '"text"', "{}",
+    ]
+    rows = spark.createDataFrame([(t.encode() if t is not None else None,) for t in texts], "value binary")
+    got = {(r["key"], r["seen_type"], r["expected_type"]): r["rows"] for r in contract_drift(rows).collect()}
+    assert got == {
+        ("mood", "text", None): 2, ("event_id", "integer", "text"): 1, ("device", "object", None): 1, ("age", "number", "integer"): 1,
+        ("tags", "array", None): 1, ("age", "boolean", "integer"): 1, ("age", "text", "integer"): 1, (None, "malformed", None): 3,
+        (None, "array", None): 1, (None, "null", None): 1, (None, "text", None): 1,
+    }
+    assert contract_drift(rows.limit(0)).count() == 0
+
+
+def test_only_whole_iso_texts_are_timestamps(spark):
+    from listenlake.functions.times import parse_event_ts
+
+    good = {"2024-01-05": "2024-01-05 00:00:00", "2024-01-05T10:00:00Z": "2024-01-05 10:00:00", "2024-01-05 10:00": "2024-01-05 10:00:00",
+            "2024-01-05T10:00:00.123456+07:00": "2024-01-05 03:00:00.123456"}
+    bad = ["10:00", "2024", "2024-01", "T10:00", "", " 2024-01-05", "2024-13-01", "2024-01-05T25:00:00Z", "12", "now", "epoch", None]
+    rows = spark.createDataFrame([(t,) for t in [*good, *bad]], "t string")
+    got = {r["t"]: r["ts"] for r in rows.select("t", parse_event_ts(rows.t).cast("string").alias("ts")).collect()}
+    assert got == {**good, **dict.fromkeys(bad)}

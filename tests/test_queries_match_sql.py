@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 import compare
+from listenlake.plans import oracles, registry
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracles.oracle_sql()
 
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
