@@ -17,7 +17,7 @@ def run_forecast(silver: DataFrame, schema: str, run_id: str) -> DataFrame | Non
     """
     spark = silver.sparkSession
     tables.ensure_schema(spark, schema)
-    daily = tables.save_table(daily_series(silver), f"{schema}.daily_plays")
+    daily = tables.save_table(daily_series(silver), f"{schema}.daily_play_series")
     if daily.limit(forecast.MIN_DAYS).count() < forecast.MIN_DAYS:
         return None
     rows = forecast.forecast_trend(daily).select("ds", "yhat", "yhat_lower", "yhat_upper")
