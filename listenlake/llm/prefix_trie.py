@@ -161,7 +161,10 @@ def tour(nodes: DataFrame, children: DataFrame) -> DataFrame:
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(batches), ignore_index=True)
+    frames = list(batches)
+    if not frames:
+        return
+    rows = pd.concat(frames, ignore_index=True)
     follow = dict(zip(rows["id"].tolist(), zip(rows["next"].tolist(), rows["hops"].tolist())))
     at, place, ids, places = 0, 0, [], []
     while at in follow:
