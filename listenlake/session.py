@@ -9,8 +9,8 @@ from pyspark.sql import SparkSession
 
 # AQE does three jobs here: it merges small shuffle partitions, splits skewed
 # join partitions and turns a sort-merge join into a broadcast once the real
-# size of a side is known.  No operator forces a broadcast with a hint, so
-# spark.sql.autoBroadcastJoinThreshold is always the size check.
+# size of a side is known.  No analytics operator forces a broadcast with a hint, so
+# spark.sql.autoBroadcastJoinThreshold is the size check there.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
