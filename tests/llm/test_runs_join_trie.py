@@ -178,7 +178,7 @@ def test_join_equals_brute_force(spark, limits):
 
 def test_join_without_small_cells_and_frequent_shingles(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SMALL_CELL", 1)
-    monkeypatch.setattr(jaccard_join, "FREQUENT", 1)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 40)
     texts = near_copies()
     assert rows_of(jaccard_join.components(frame(spark, texts))) == brute_join(list(enumerate(map(shingle_set, texts))))
 
