@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,10 @@ from listenlake.llm.common import stored, table
 UNKNOWN = "und"
 SAMPLE_ROWS = 4000
 LONGEST_GRAM = 4
-# Unseen words remembered per task with their scores.
+# Words remembered per task with their scores.
 CACHE_WORDS = 200_000
+# Characters of texts whose words are looked up together.
+CHUNK_CHARS = 1 << 19
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -51,6 +54,10 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
     return labelled.join(stored(share, "lang-share"), "lang").where(place < F.col("_share")).drop("_share")
 
 
+def _key(size: int, term: str) -> int:
+    return xxhash.xxh64_intdigest(term.encode(), size)
+
+
 def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         counts: Counter = Counter()
@@ -60,72 +67,114 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for size in range(1, LONGEST_GRAM + 1):
                     for gram in grams(word, size):
                         counts[lang, size, gram] += n
-        rows = [(*key, n) for key, n in counts.items()]
-        yield pd.DataFrame(rows, columns=["lang", "size", "term", "n"])
+        langs, sizes, keys = zip(*((lang, size, _key(size, term)) for lang, size, term in counts)) if counts else ((), (), ())
+        yield pd.DataFrame({"lang": langs, "size": sizes, "key": np.array(keys, np.uint64).view(np.int64), "n": list(counts.values())})
 
 
 class Model:
     """Frequencies per language of words (size 0) and n-grams (their length).
 
-    A term holds (language, count) only where it was seen; ``totals`` are per size.
+    ``terms`` has numbers only: lang (its place in ``langs``), size, key, n.  Per size there are the sorted ``keys``, one row of log
+    frequencies per key and one column per language; ``totals`` are per size.
     """
 
-    def __init__(self, langs: list[str], rows: list[tuple[str, int, str, int]]):
+    def __init__(self, langs: list[str], terms: pd.DataFrame):
         self.langs = langs
-        at = {lang: i for i, lang in enumerate(langs)}
-        self.tables: dict[int, dict[str, tuple]] = {}
+        self.keys: dict[int, np.ndarray] = {}
+        self.scores: dict[int, np.ndarray] = {}
         self.totals: dict[int, np.ndarray] = {}
-        for lang, size, term, n in rows:
-            terms = self.tables.setdefault(size, {})
-            terms[term] = (*terms.get(term, ()), (at[lang], n))
-            self.totals.setdefault(size, np.zeros(len(langs)))[at[lang]] += n
-        for size, terms in self.tables.items():
-            self.totals[size] += 0.5 * len(terms)
-
-    def _term_score(self, size: int, term: str) -> np.ndarray | None:
-        seen = self.tables.get(size, {}).get(term)
-        if seen is None:
-            return None
-        counts = np.zeros(len(self.langs))
-        for i, n in seen:
-            counts[i] += n
-        return np.log((counts + 0.5) / self.totals[size])
-
-    def word_score(self, word: str) -> np.ndarray:
-        known = self._term_score(0, word)
-        if known is not None:
-            return known
+        sizes, column = terms["size"].to_numpy(), terms["lang"].to_numpy()
+        for size in np.unique(sizes).tolist():
+            own = sizes == size
+            keys, row = np.unique(terms["key"].to_numpy(np.int64)[own].view(np.uint64), return_inverse=True)
+            counts = np.zeros((len(keys), len(langs)))
+            np.add.at(counts, (row, column[own]), terms["n"].to_numpy(np.float64)[own])
+            self.keys[size], self.totals[size] = keys, counts.sum(axis=0) + 0.5 * len(keys)
+            self.scores[size] = np.log((counts + 0.5) / self.totals[size]).astype(np.float32)
+
+    def find(self, size: int, keys: np.ndarray) -> np.ndarray:
+        """The row of each key, -1 for an unknown one."""
+        known = self.keys.get(size, np.zeros(0, np.uint64))
+        if not len(known):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, at, -1)
+
+    def knows(self, size: int, terms: list[str]) -> np.ndarray:
+        return self.find(size, np.array([_key(size, t) for t in terms], np.uint64)) >= 0
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """One row of log frequencies per word, by the longest terms that are known of it."""
+        found = np.zeros((len(words), len(self.langs)), np.float32)
+        at = self.find(0, np.array([_key(0, w) for w in words], np.uint64))
+        known, left = at >= 0, np.flatnonzero(at < 0)
+        if known.any():
+            found[known] = self.scores[0][at[known]]
         for size in range(LONGEST_GRAM, 0, -1):
-            hits = [h for g in grams(word, size) if (h := self._term_score(size, g)) is not None]
-            if hits:
-                return np.mean(hits, axis=0)
-        return np.zeros(len(self.langs))
-
-    def predict(self, text: str | None, cache: dict[str, np.ndarray]) -> tuple[str, float]:
-        words = Counter(_WORD.findall(text.lower())) if text else Counter()
-        words = {w: n for w, n in words.items() if any(map(str.isalpha, w))}
-        if not words or not self.langs:
-            return UNKNOWN, 0.0
-        total = np.zeros(len(self.langs))
-        for word, n in words.items():
-            score = cache.get(word)
-            if score is None:
-                score = self.word_score(word)
-                if len(cache) < CACHE_WORDS:
-                    cache[word] = score
-            total += n * score
-        odds = np.exp(total - total.max())
-        best = int(odds.argmax())
-        return self.langs[best], float(odds[best] / odds.sum())
+            parts = [(i, _key(size, g)) for i in left.tolist() for g in grams(words[i], size)]
+            if not parts:
+                continue
+            at = self.find(size, np.array([k for _, k in parts], np.uint64))
+            owner = np.array([i for i, _ in parts])[at >= 0]
+            hits = np.bincount(owner, minlength=len(words))[:, None]
+            sums = np.zeros((len(words), len(self.langs)))
+            if len(owner):
+                np.add.at(sums, owner, self.scores[size][at[at >= 0]])
+            got = left[hits[left, 0] > 0]
+            found[got] = sums[got] / hits[got]
+            left = left[hits[left, 0] == 0]
+        return found
+
+    def predict(self, text: str | None, memory: Memory | None = None) -> tuple[str, float]:
+        return self.predict_all([text], memory or Memory(self))[0]
+
+    def predict_all(self, texts: list[str | None], memory: Memory) -> list[tuple[str, float]]:
+        words = [_WORD.findall(t.lower()) if t else [] for t in texts]
+        if not self.langs:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        rows, letters = memory.rows_of([w for own in words for w in own])
+        ends = np.cumsum([len(own) for own in words])
+        sums = np.vstack([np.zeros((1, len(self.langs))), np.cumsum(rows, axis=0, dtype=np.float64)])
+        counts = np.concatenate([[0], np.cumsum(letters)])
+        total = sums[ends] - sums[ends - [len(own) for own in words]]
+        n = counts[ends] - counts[ends - [len(own) for own in words]]
+        # The odds of a word of the text in the mean: a sum would be certain of any long text.
+        odds = np.exp((total - total.max(axis=1, keepdims=True)) / np.maximum(n, 1)[:, None])
+        best = odds.argmax(axis=1)
+        sure = odds[np.arange(len(texts)), best] / odds.sum(axis=1)
+        return [(self.langs[b], float(p)) if k else (UNKNOWN, 0.0) for b, p, k in zip(best, sure, n)]
+
+
+class Memory:
+    """The words a task has met, with their scores; emptied when it is full."""
+
+    def __init__(self, model: Model):
+        self.model, self.index = model, {}
+        self.rows, self.letters = np.zeros((0, len(model.langs)), np.float32), np.zeros(0, bool)
+
+    def rows_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row of scores per word, zero for a word without a letter, and whether it has one."""
+        if len(self.index) > CACHE_WORDS:
+            self.__init__(self.model)
+        fresh = [w for w in dict.fromkeys(words) if w not in self.index]
+        if fresh:
+            letters = np.array([any(map(str.isalpha, w)) for w in fresh])
+            scores = self.model.word_scores(fresh) * letters[:, None]
+            self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh))))
+            self.rows, self.letters = np.vstack([self.rows, scores]), np.concatenate([self.letters, letters])
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        return self.rows[at], self.letters[at]
 
 
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model of all terms of the sample from (doc_id, text, lang)."""
     usable = labelled.where("text is not null and lang is not null")
-    terms = _sample(usable, sample_rows).select("lang", "text").mapInPandas(_count_terms, "lang string, size int, term string, n long")
-    counted = stored(terms.groupBy("lang", "size", "term").agg(F.sum("n").alias("n")), "lang-terms")
-    rows = [(r["lang"], r["size"], r["term"], r["n"]) for r in counted.toLocalIterator()]
-    return Model(sorted({r[0] for r in rows}), rows)
+    terms = _sample(usable, sample_rows).select("lang", "text").mapInPandas(_count_terms, "lang string, size int, key long, n long")
+    counted = stored(terms.groupBy("lang", "size", "key").agg(F.sum("n").alias("n")), "lang-terms")
+    langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    place = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1 if langs else F.lit(0)
+    numbers = counted.select(place.cast("int").alias("lang"), F.col("size").cast("byte").alias("size"), "key", F.col("n").cast("int").alias("n"))
+    return Model(langs, numbers.toPandas())
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -133,9 +182,18 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own, cache = pickle.loads(shared.value), {}
+        own = pickle.loads(shared.value)
+        memory = Memory(own)
         for texts in batches:
-            yield pd.DataFrame([own.predict(t, cache) for t in texts], columns=["pred", "score"])
+            found, held, size = [], [], 0
+            for text in texts:
+                held.append(text)
+                size += len(text or "")
+                if size > CHUNK_CHARS:
+                    found += own.predict_all(held, memory)
+                    held, size = [], 0
+            found += own.predict_all(held, memory) if held else []
+            yield pd.DataFrame(found, columns=["pred", "score"])
 
     return docs.withColumn("_lang", F.pandas_udf(score, "pred string, score double", F.PandasUDFType.SCALAR_ITER)(F.col(text_col)))
 

@@ -120,12 +120,12 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = edited(F.col("text"), F.col("next_text"))
     made = pairs.select(
         "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2(changed, 256).alias("edited_sha256"),
-        "own", sketch(changed).alias("new"), "next",
+        "own", sketch(changed).alias("new"), resemblance(F.col("own"), F.col("next")).alias("near_next"),
     )
     made = stored(made, "sketches")
     return made.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("new")).alias("edited_fingerprint"), resemblance(F.col("own"), F.col("new")).alias("near_edited"),
-        resemblance(F.col("own"), F.col("next")).alias("near_next"), distinct_shingles(F.col("own")).alias("n_shingles"),
+        "near_next", distinct_shingles(F.col("own")).alias("n_shingles"),
         containment(F.col("own"), F.col("new")).alias("contained_in_edited"),
     )
