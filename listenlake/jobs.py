@@ -63,6 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--silver", required=True)
     job.add_argument("--schema", default="gold")
     job.add_argument("--run-id")
+    job.add_argument("--model", choices=sorted(forecasting.MODELS), default="trend")
     return parser
 
 
@@ -123,7 +124,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> None:
     else:
         silver = read_silver(spark, args.silver)
         run_id = args.run_id or uuid.uuid4().hex
-        if forecasting.run_forecast(silver, args.schema, run_id) is None:
+        if forecasting.run_forecast(silver, args.schema, run_id, args.model) is None:
             print("fewer than two days of data: no forecast")
 
 

@@ -126,7 +126,7 @@ def build_lake(
         marts["quarantine_events"] = silver_quarantine(bronze_events)
         return {name: tables.save_view(df, f"{gold_schema}_{name}") for name, df in marts.items()}
     undated = silver.drop(DAY)
-    dated = {name: rollups.totals(undated, *grain) for name, grain in rollups.GRAIN.items()}
+    dated = rollups.daily(undated)
     dated["fact_play_events"] = _dated(star.fact_play_events(undated))
     dated["quarantine_events"] = silver_quarantine(bronze_events).withColumn(DAY, tables.day_of(F.col("timestamp")))
     changed |= _staged(dated, silver_path, DAY, at_once)
@@ -184,7 +184,7 @@ def refresh_days(
     if gate:
         quality.enforce(quality.dq_report(checked))
     undated = checked.drop(DAY)
-    dated = {name: rollups.totals(undated, *grain) for name, grain in rollups.GRAIN.items()}
+    dated = rollups.daily(undated)
     parts = {"silver": staged} | _staged(dated, rollup_root, DAY, at_once)
     if gold_schema:
         # Events without a valid time lie under the day that stands for none.
@@ -200,3 +200,9 @@ def refresh_days(
     release = releases.publish(spark, base, changed)
     rolled = {name: releases.read(spark, release, name, _in(dated[name])) for name in rollups.GRAIN}
     return rollups.marts_of(rolled, as_of)
+
+
+def listeners(spark: SparkSession, lake: str, first: str, last: str, keys: list[str]) -> DataFrame:
+    """Distinct users of a range of days from the sketches of a published lake."""
+    release = releases.current(spark, lake)
+    return rollups.unique_listeners(releases.read(spark, release, "listeners_day", rollups.LISTENERS), first, last, keys)

@@ -236,6 +236,87 @@ _ALL = "'all'"
 _BANDS = """round(yhat, 6) + 0.0 AS yhat, round(yhat_lower, 6) + 0.0 AS yhat_lower,
   round(yhat_upper, 6) + 0.0 AS yhat_upper"""
 
+# Hinges at six points of the first 80 % of the history, a penalty of 0.5 on each bend; the
+# normal equations are reduced row by row.
+_CHANGEPOINTS = """
+daily AS (
+  SELECT CAST(event_ts AS DATE) AS ds, count(*) FILTER (WHERE event_type = 'play') AS y
+  FROM silver GROUP BY 1
+),
+span AS (SELECT min(ds) AS lo, max(ds) AS hi FROM daily HAVING count(*) >= 2),
+points AS (
+  SELECT ds, y FROM daily
+  UNION ALL
+  SELECT hi + i, NULL FROM span CROSS JOIN (SELECT CAST(range AS INTEGER) AS i FROM range(1, 8))
+),
+scaled AS (
+  SELECT p.ds, p.y, CAST(p.ds - s.lo AS DOUBLE) / (s.hi - s.lo) AS u FROM points p CROSS JOIN span s
+),
+based AS (
+  SELECT ds, y, u, b, CASE b WHEN 1 THEN 1.0 WHEN 2 THEN u
+    ELSE greatest(u - CAST(0.8 AS DOUBLE) * (b - 2) / 7, 0.0) END AS x
+  FROM scaled CROSS JOIN (SELECT CAST(range AS INTEGER) AS b FROM range(1, 9))
+),
+cells AS (
+  SELECT l.b AS i, r.b AS j, sum(l.x * r.x) + CASE WHEN l.b = r.b AND l.b > 2 THEN 0.5 ELSE 0 END AS v
+  FROM based l JOIN based r ON l.ds = r.ds WHERE l.y IS NOT NULL GROUP BY 1, 2, l.b = r.b AND l.b > 2
+  UNION ALL
+  SELECT b, 9, sum(x * y) FROM based WHERE y IS NOT NULL GROUP BY 1
+),
+lines AS (SELECT i, list(v ORDER BY j) AS line FROM cells GROUP BY i),
+reduced AS (
+  SELECT 0 AS p, list(line ORDER BY i) AS m FROM lines
+  UNION ALL
+  SELECT p + 1, list_transform(m, lambda line, i: CASE WHEN i = p + 1
+    THEN list_transform(line, lambda x: x / m[p + 1][p + 1])
+    ELSE list_transform(line, lambda x, j: x - line[p + 1] * m[p + 1][j] / m[p + 1][p + 1]) END)
+  FROM reduced WHERE p < 8
+),
+weights AS (SELECT b, m[b][9] AS w FROM reduced CROSS JOIN (SELECT CAST(range AS INTEGER) AS b FROM range(1, 9)) WHERE p = 8),
+bent AS (
+  SELECT ds, y, sum(w * x) AS trend FROM based JOIN weights USING (b) GROUP BY ds, y
+),
+fit AS (
+  SELECT a.ds, a.y, a.trend + coalesce((SELECT avg(b.y - b.trend) FROM bent b WHERE dayofweek(b.ds) = dayofweek(a.ds)), 0) AS yhat
+  FROM bent a
+),
+spread AS (SELECT 1.2816 * coalesce(stddev_samp(y - yhat), 0) AS s FROM fit WHERE y IS NOT NULL)"""
+
+# One row per series, triple and day: level, trend and the seven effects go from day to day.
+_SEASONAL = """
+seen AS (
+  SELECT song_id AS k, CAST(event_ts AS DATE) AS ds, count(*) FILTER (WHERE event_type = 'play') AS y
+  FROM silver GROUP BY 1, 2
+),
+span AS (SELECT k, min(ds) AS lo, max(ds) AS hi, max(ds) - min(ds) + 1 AS n FROM seen GROUP BY k),
+days AS (
+  SELECT g.k, g.t, CAST(coalesce(s.y, 0) AS DOUBLE) AS y
+  FROM (SELECT k, lo, unnest(range(n)) AS t FROM span) g LEFT JOIN seen s ON s.k = g.k AND s.ds = g.lo + CAST(g.t AS INTEGER)
+),
+triples(number, a, b, c) AS (VALUES (0, 0.1e0, 0.01e0, 0.1e0), (1, 0.1e0, 0.05e0, 0.3e0),
+  (2, 0.3e0, 0.01e0, 0.1e0), (3, 0.3e0, 0.05e0, 0.3e0), (4, 0.6e0, 0.05e0, 0.1e0)),
+begun AS (
+  SELECT k, avg(y) AS mean, list(y ORDER BY t) AS week FROM days WHERE t < 7 GROUP BY k
+),
+state AS (
+  SELECT k, number, a, b, c, CAST(7 AS BIGINT) AS t, mean AS level, CAST(0 AS DOUBLE) AS trend, CAST(0 AS DOUBLE) AS sse,
+    list_transform(range(1, 8), lambda i: coalesce(week[i] - mean, 0)) AS season
+  FROM begun CROSS JOIN triples
+  UNION ALL
+  SELECT k, number, a, b, c, t + 1, fresh, b * (fresh - level) + (1 - b) * trend,
+    sse + (y - level - trend - effect) * (y - level - trend - effect),
+    list_transform(season, lambda x, i: CASE WHEN i = t % 7 + 1 THEN c * (y - fresh) + (1 - c) * effect ELSE x END)
+  FROM (
+    SELECT s.*, d.y, s.season[s.t % 7 + 1] AS effect,
+      s.a * (d.y - s.season[s.t % 7 + 1]) + (1 - s.a) * (s.level + s.trend) AS fresh
+    FROM state s JOIN days d ON d.k = s.k AND d.t = s.t
+  )
+),
+best AS (
+  SELECT s.*, p.hi, p.n FROM state s JOIN span p ON p.k = s.k AND s.t = greatest(p.n, 7)
+  QUALIFY row_number() OVER (PARTITION BY s.k ORDER BY round(sse, 6), number) = 1
+)"""
+
 # Joint least squares of a trend and weekly harmonics: three sine/cosine pairs span
 # the same space as seven weekday levels, so the slope is the within-weekday slope.
 _FOURIER = """
@@ -616,6 +697,18 @@ def oracle_sql() -> dict[str, str]:
         "forecast_by_song": _silver(
             f" SELECT k AS song_id, ds, {_BANDS} FROM forecast", _forecast_ctes("song_id", 7)
         ),
+        "forecast_changepoints": _silver("""
+            SELECT ds, round(yhat, 4) + 0.0 AS yhat, round(yhat - s, 4) + 0.0 AS yhat_lower,
+              round(yhat + s, 4) + 0.0 AS yhat_upper FROM fit CROSS JOIN spread""", _CHANGEPOINTS).replace("WITH ", "WITH RECURSIVE ", 1),
+        "forecast_seasonal_by_song": _silver("""
+            SELECT k AS song_id, hi + step AS ds,
+              round(level + step * trend + season[(n + step - 1) % 7 + 1], 4) + 0.0 AS yhat,
+              number AS smoothing, round(CASE WHEN n > 7 THEN sse / (n - 7) END, 4) AS mse
+            FROM best CROSS JOIN (SELECT CAST(range AS INTEGER) AS step FROM range(1, 8))""", _SEASONAL).replace("WITH ", "WITH RECURSIVE ", 1),
+        "unique_listeners": _silver("""
+            SELECT artist_name, count(DISTINCT user_id) AS exact, true AS within_bound FROM silver
+            WHERE CAST(event_ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-15'
+            GROUP BY artist_name"""),
         "forecast_peak_hour": _silver("""
             SELECT ds, CAST(hour AS INTEGER) AS peak_hour, yhat
             FROM (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY yhat DESC, hour) AS place
@@ -647,6 +740,8 @@ def oracle_sql() -> dict[str, str]:
     }
     sql["rollup_churn_risk"] = sql["churn_risk"]
     sql["rollup_artist_performance"] = sql["artist_performance"]
+    for mart in ("churn_risk", "user_loyalty", "user_engagement", "preferred_device"):
+        sql[f"bucketed_{mart}"] = sql[mart]
     sql["gold_build"] = "\nUNION ALL\n".join(_mart_sums(sql))
     sql["publish_after_gate"] = "\nUNION ALL\n".join(
         [*_mart_sums(sql), f"SELECT 'silver' AS mart, 'rows' AS measure, count(*) AS total FROM ({sql['silver_events']})"]

@@ -12,6 +12,7 @@ from pyspark.sql.types import DateType, IntegerType, StructType
 
 from listenlake import schemas
 from listenlake.functions.keys import song_key
+from listenlake.functions.measures import TOTALS
 from listenlake.operators import (
     anomalies,
     conform,
@@ -22,6 +23,7 @@ from listenlake.operators import (
     preferences,
     quality,
     recommend,
+    seasonal,
     star,
     trends,
     validate,
@@ -488,6 +490,39 @@ def rollup_artist_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rollups(spark, sf_dir)["artist_performance"]
 
 
+@_register
+def unique_listeners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listeners per artist over eleven days, from the rollups' sketches alone, held against the exact number."""
+    root, first, last = work_dir(spark, "sketches"), "2024-01-05", "2024-01-15"
+    stored = tables.write_silver(_silver(spark, sf_dir), f"{root}/silver").drop("event_date")
+    rollups.refresh(stored, root)
+    sketched = rollups.unique_listeners(rollups.read(spark, root, "listeners_day"), first, last, ["artist_name"])
+    exact = (
+        stored.where(F.to_date("event_ts").between(F.lit(first), F.lit(last)))
+        .groupBy("artist_name").agg(F.count_distinct("user_id").alias("exact"))
+    )
+    gap = F.abs(F.col("unique_listeners") - F.col("exact"))
+    both = exact.join(sketched, exact["artist_name"].eqNullSafe(sketched["artist_name"]), "full").select(
+        exact["artist_name"], "exact", F.coalesce(gap <= rollups.SKETCH_ERROR * F.col("exact"), F.lit(False)).alias("within_bound")
+    )
+    return both
+
+
+def _bucketed(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
+    """A mart over daily totals in buckets by user, which it aggregates without a shuffle."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        schema = _bronze_schema(pin_utc(spark), "buckets")
+        return operator(rollups.bucketed_user_days(_silver(spark, sf_dir), f"{schema}.user_day"))
+
+    _REGISTRY[name] = run
+
+
+_bucketed("bucketed_churn_risk", lambda t: gold.churn_risk(t, AS_OF, TOTALS))
+_bucketed("bucketed_user_loyalty", gold.user_loyalty)
+_bucketed("bucketed_user_engagement", lambda t: gold.user_engagement(t, TOTALS, ordered=False))
+_bucketed("bucketed_preferred_device", lambda t: preferences.preferred_device(t, TOTALS))
+
+
 # --- quality ----------------------------------------------------------------------
 
 
@@ -577,6 +612,18 @@ def forecast_by_song(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(forecast.forecast_trend(daily, ["song_id"]).drop("y"))
 
 
+@_register
+def forecast_changepoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(seasonal.forecast_changepoints(_daily(spark, sf_dir)).drop("y"), 4)
+
+
+@_register
+def forecast_seasonal_by_song(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = gold.daily_series(_silver(spark, sf_dir), ["song_id"])
+    ahead = seasonal.forecast_seasonal(daily, ["song_id"]).withColumn("mse", F.round("mse", 4))
+    return _rounded(ahead, 4)
+
+
 @_register
 def forecast_peak_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = gold.daily_series(_silver(spark, sf_dir), [F.hour("event_ts").alias("hour")])

@@ -10,6 +10,7 @@ again.
 ``song_day``              song, genre, duration, day
 ``country_hour``          country, hour
 ``artist_user_day``       artist, user, day
+``listeners_day``         artist, country, day: a sketch of the users (``SKETCHES``)
 ========================  ===================================================
 
 Each keeps ``event_ts`` as the start of its day or hour, so the marts' own time
@@ -22,6 +23,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from listenlake.functions.measures import EVENTS, TOTALS
 from listenlake.operators import gold, preferences, star, trends
@@ -33,6 +35,15 @@ GRAIN: dict[str, tuple[list[str], str]] = {
     "artist_user_day": (["artist_name", "user_id"], "day"),
 }
 
+# Rollups that hold a mergeable sketch of users in place of counts.
+SKETCHES: dict[str, list[str]] = {"listeners_day": ["artist_name", "country"]}
+LISTENERS = (
+    StructType().add("artist_name", "string").add("country", "string").add("listeners", "binary").add("event_date", "date")
+)
+# Two to this power registers: 1.6 % standard error, and three times that as the bound.
+SKETCH_POWER = 12
+SKETCH_ERROR = 0.05
+
 
 def totals(silver: DataFrame, keys: list[str], unit: str) -> DataFrame:
     moment: Column = F.date_trunc(unit, "event_ts").alias("event_ts")
@@ -54,10 +65,9 @@ def refresh(silver_days: DataFrame, root: str) -> None:
     ``silver_days`` must hold these days completely.  Silver stored by
     ``event_date`` and filtered on it is read for these days only.
     """
-    for name, (keys, unit) in GRAIN.items():
+    for name, rows in daily(silver_days).items():
         (
-            totals(silver_days, keys, unit)
-            .hint("rebalance", "event_date")
+            rows.hint("rebalance", "event_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("event_date")
@@ -65,6 +75,47 @@ def refresh(silver_days: DataFrame, root: str) -> None:
         )
 
 
+def daily(silver: DataFrame) -> dict[str, DataFrame]:
+    """Every rollup over these events, with its ``event_date``."""
+    counted = {name: totals(silver, *grain) for name, grain in GRAIN.items()}
+    return counted | {name: listener_sketches(silver, keys) for name, keys in SKETCHES.items()}
+
+
+def listener_sketches(silver: DataFrame, keys: list[str]) -> DataFrame:
+    """A sketch of the distinct users per key and day; a user counts whatever the event."""
+    return silver.groupBy(*keys, F.to_date("event_ts").alias("event_date")).agg(
+        F.hll_sketch_agg("user_id", SKETCH_POWER).alias("listeners")
+    )
+
+
+def unique_listeners(sketches: DataFrame, first: str | date, last: str | date, keys: list[str]) -> DataFrame:
+    """Distinct users of a range of days (both included), estimated from the daily sketches.
+
+    ``sketches`` is the stored ``listeners_day``, and ``keys`` is any part of artist_name and country, none for one row over all.  Only the
+    range's folders are read.  Up to some hundred users the number is exact; beyond that it
+    lies within ``SKETCH_ERROR`` in about 997 of 1000 cases.  The exact marts stay the default.
+    """
+    days = sketches.where(
+        F.col("event_date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    )
+    merged = F.hll_sketch_estimate(F.hll_union_agg("listeners"))
+    return days.groupBy(*keys).agg(F.coalesce(merged, F.lit(0)).cast("bigint").alias("unique_listeners"))
+
+
+def bucketed_user_days(silver: DataFrame, table: str, buckets: int = 64) -> DataFrame:
+    """The ``user_day`` totals as a table in buckets by user, which is returned.
+
+    Marts by user (churn, loyalty, engagement, preferred device) aggregate it without a
+    shuffle.  Totals go in and not events, so a user who holds a third of all events adds
+    a row per day and attribute set, and no bucket grows with one user's events.
+    """
+    keys, unit = GRAIN["user_day"]
+    # One task per bucket writes one file.
+    rows = totals(silver, keys, unit).repartition(buckets, "user_id")
+    rows.write.mode("overwrite").format("parquet").bucketBy(buckets, "user_id").saveAsTable(table)
+    return silver.sparkSession.table(table)
+
+
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}")
 
