@@ -18,9 +18,13 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,24 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 GROUP_TAILS = 2048
 # Characters encoded at a time.
 BATCH_CHARS = 1 << 20
+# Chunks and pieces whose ids a worker remembers.
+MEMO_CHUNKS, MEMO_PIECES = 250_000, 300_000
+_CHUNK = re.compile(r"[^ \t\n\r]+")
+# The rules of the tokenizer file by which texts fall into pieces.
+_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+# The same rules for printable ASCII and the Latin-1 letters, which NFC leaves alone.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+# The tokenizer spells a byte as the letter of its number if that prints, else as one from 256 on.
+_PRINTS = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
 
 _CUT = "doc_id long, start long, doc_tokens long, length long, ids_crc32 long, tail binary, salt long"
 _PIECE = (
@@ -44,6 +66,72 @@ _PIECE = (
 )
 
 
+class Encoder:
+    """Ids of texts, by a tokenizer that never joins across white space.
+
+    A text's ids are those of its space-separated chunks in a row, so the ids of a chunk are
+    remembered and only new ones reach the tokenizer.  A new chunk of plain characters falls
+    into the pre-tokenizer's own pieces, which repeat more often still.  A text that names
+    one of the tokenizer's special tokens, and any text of a tokenizer with other rules, is
+    encoded whole.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        rules = json.loads(self.tokenizer.to_str())
+        # Texts are taken apart here only if the file states the rules that _CHUNK and _PIECES follow.
+        self.known_rules = all(rules[k] == v for k, v in _RULES.items())
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _piece(self, piece: str) -> bytes:
+        spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        ids = [t.id for t in self.tokenizer.model.tokenize(spelt)]
+        made = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return made
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the ids of new chunks."""
+        pieces, other = self.pieces, []
+        for chunk in chunks:
+            if _PLAIN.fullmatch(chunk):
+                parts = _PIECES.findall(chunk.lower())
+                self.chunks[chunk] = b"".join([pieces.get(p) or self._piece(p) for p in parts])
+            else:
+                other.append(chunk)
+        if other:
+            self.chunks.update(zip(other, self._whole(other)))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        whole = [i for i, t in enumerate(texts) if not self.known_rules or any(s in t for s in self.special)]
+        out = dict(zip(whole, self._whole([texts[i] for i in whole])))
+        split = {i: _CHUNK.findall(t) for i, t in enumerate(texts) if i not in out}
+        # A full memory starts anew; what is frequent soon stands in it again.
+        for memory, most in ((self.chunks, MEMO_CHUNKS), (self.pieces, MEMO_PIECES)):
+            if len(memory) > most:
+                memory.clear()
+        known = self.chunks
+        self._learn(list(set().union(*split.values()).difference(known)))
+        for i, chunks in split.items():
+            out[i] = b"".join([known[c] for c in chunks])
+        return [out[i] for i in range(len(texts))]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """One per worker process, kept over its tasks."""
+    return Encoder(path)
+
+
 def _runs(texts: list[str]) -> Iterator[list[str]]:
     run, chars = [], 0
     for text in texts:
@@ -60,24 +148,21 @@ def tokenised(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Da
     """Full pieces with their checksum, tails with their ids."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_file(tokenizer)
+        encode = encoder_of(tokenizer)
+        end = end_id.to_bytes(4, "little")
         for batch in batches:
             ids_of = iter(batch["doc_id"].tolist())
             for run in _runs(batch["text"].tolist()):
                 rows = []
-                for text, encoded in zip(run, encoder.encode_batch(run, add_special_tokens=False)):
-                    doc_id = next(ids_of)
-                    ids = np.array([*encoded.ids, end_id], dtype="<u4")
-                    whole = len(ids) // capacity * capacity
+                for text, raw in zip(run, encode(run)):
+                    doc_id, raw = next(ids_of), raw + end
+                    tokens = len(raw) // 4
+                    whole = tokens // capacity * capacity
                     for start in range(0, whole, capacity):
-                        crc = zlib.crc32(ids[start : start + capacity].tobytes())
-                        rows.append((doc_id, start, len(ids), capacity, crc, None, 0))
-                    if whole < len(ids):
-                        tail = ids[whole:].tobytes()
-                        rows.append((doc_id, whole, len(ids), len(ids) - whole, None, tail, zlib.crc32(text.encode())))
+                        crc = zlib.crc32(raw[4 * start : 4 * (start + capacity)])
+                        rows.append((doc_id, start, tokens, capacity, crc, None, 0))
+                    if whole < tokens:
+                        rows.append((doc_id, whole, tokens, tokens - whole, None, raw[4 * whole :], zlib.crc32(text.encode())))
                 yield _frame(rows, _CUT)
 
     return docs.mapInPandas(cut, _CUT)
