@@ -11,8 +11,8 @@ and finds the other.  Whatever meets in a cell is verified by the bit distance.
 Equal fingerprints are folded before the join.  A cell hands on only a spanning star of
 what it found linked, never all pairs.  A cell with more than ``CELL`` entries is split
 into blocks, and every pair of blocks is a cell of its own, so no link is lost and no
-task holds a hot cell.  Components come from contracting edges round by round; each
-round is written to the shared folder.
+task holds a hot cell.  Components come from contracting edges by random ranks, in a
+logarithmic number of rounds, each written to the shared folder.
 
 Defined cases: a null text is an empty one, with fingerprint zero, which links like any
 other; fewer words than a shingle make one shingle; a null id takes part but is never a
@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenlake.llm.common import stored, table, text_of
+from listenlake.llm.components import contract as contract_edges
 
 SHINGLE = 3
 DISTANCE = 3
@@ -169,24 +170,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def contract(edges: DataFrame) -> DataFrame:
     """(fp, root) for every end of an edge; root is one fingerprint per component."""
-    edges = stored(edges, "simhash-edges")
-    labels = None
-    while not edges.isEmpty():
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parents = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("parent")), "simhash-parents")
-        if labels is None:
-            labels = parents.select(F.col("a").alias("fp"), F.col("parent").alias("root"))
-        else:
-            moved = parents.select(F.col("a").alias("root"), "parent")
-            labels = stored(
-                labels.join(moved, "root", "left").select("fp", F.coalesce("parent", "root").alias("root")), "simhash-labels"
-            )
-        of_a = parents.select("a", F.col("parent").alias("pa"))
-        of_b = parents.select(F.col("a").alias("b"), F.col("parent").alias("pb"))
-        ends = edges.join(of_a, "a").join(of_b, "b")
-        ends = ends.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
-        edges = stored(ends.where("a <> b").distinct(), "simhash-edges")
-    return labels if labels is not None else edges.select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    return contract_edges(edges).withColumnRenamed("node", "fp")
 
 
 def _components(rows: DataFrame, distance: int) -> DataFrame:
