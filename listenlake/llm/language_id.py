@@ -42,6 +42,10 @@ CHUNK_CHARS = 1 << 19
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+# What the driver receives per term: the language's place, the term's length or 0, its hash, its count.
+_NUMBERS = [("lang", "<i4"), ("size", "<i4"), ("key", "<i8"), ("n", "<i8")]
+
+
 def grams(word: str, n: int) -> list[str]:
     marked = f"^{word}$" if n > 1 else word
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
@@ -71,6 +75,12 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": langs, "size": sizes, "key": np.array(keys, np.uint64).view(np.int64), "n": list(counts.values())})
 
 
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A task's numbers as one value, so that the driver meets a few rows and not one per term."""
+    parts = [batch.to_records(index=False, column_dtypes=dict(_NUMBERS)).astype(_NUMBERS).tobytes() for batch in batches]
+    yield pd.DataFrame({"part": [b"".join(parts)]})
+
+
 class Model:
     """Frequencies per language of words (size 0) and n-grams (their length).
 
@@ -78,17 +88,17 @@ class Model:
     frequencies per key and one column per language; ``totals`` are per size.
     """
 
-    def __init__(self, langs: list[str], terms: pd.DataFrame):
+    def __init__(self, langs: list[str], terms: np.ndarray | pd.DataFrame):
         self.langs = langs
         self.keys: dict[int, np.ndarray] = {}
         self.scores: dict[int, np.ndarray] = {}
         self.totals: dict[int, np.ndarray] = {}
-        sizes, column = terms["size"].to_numpy(), terms["lang"].to_numpy()
+        sizes, column = np.asarray(terms["size"]), np.asarray(terms["lang"])
         for size in np.unique(sizes).tolist():
             own = sizes == size
-            keys, row = np.unique(terms["key"].to_numpy(np.int64)[own].view(np.uint64), return_inverse=True)
+            keys, row = np.unique(np.asarray(terms["key"], np.int64)[own].view(np.uint64), return_inverse=True)
             counts = np.zeros((len(keys), len(langs)))
-            np.add.at(counts, (row, column[own]), terms["n"].to_numpy(np.float64)[own])
+            np.add.at(counts, (row, column[own]), np.asarray(terms["n"], np.float64)[own])
             self.keys[size], self.totals[size] = keys, counts.sum(axis=0) + 0.5 * len(keys)
             self.scores[size] = np.log((counts + 0.5) / self.totals[size]).astype(np.float32)
 
@@ -173,8 +183,9 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     counted = stored(terms.groupBy("lang", "size", "key").agg(F.sum("n").alias("n")), "lang-terms")
     langs = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     place = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1 if langs else F.lit(0)
-    numbers = counted.select(place.cast("int").alias("lang"), F.col("size").cast("byte").alias("size"), "key", F.col("n").cast("int").alias("n"))
-    return Model(langs, numbers.toPandas())
+    numbers = counted.select(place.cast("int").alias("lang"), "size", "key", "n").mapInPandas(_packed, "part binary")
+    parts = [np.frombuffer(r["part"], _NUMBERS) for r in numbers.collect()]
+    return Model(langs, np.concatenate(parts or [np.zeros(0, _NUMBERS)]))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
