@@ -89,14 +89,24 @@ def staged(spark: SparkSession, table: str, load_id: str) -> DataFrame:
     return spark.table(f"{table}_rows").where(marked_as(load_id)).drop("load_id")
 
 
-def unseen(rows: DataFrame, table: str, key: str) -> DataFrame:
-    """(key, _hash, _n) of the incoming ids that ``table`` does not hold: narrow rows only.
+def _ids(rows: DataFrame, key: str) -> DataFrame:
+    """(key, _hash, _n) of the incoming ids: narrow rows only.
 
     Of the copies of an id the one with the least hash is named, so reruns agree.
     """
-    ids = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("_hash").alias("_hash"), F.count(F.lit(1)).alias("_n"))
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("_hash").alias("_hash"), F.count(F.lit(1)).alias("_n"))
+
+
+def unseen(rows: DataFrame, table: str, key: str) -> DataFrame:
+    """(key, _hash, _n) of the incoming ids that ``table`` does not hold."""
     held = committed(rows.sparkSession, f"{table}_ids").select(key)
-    return ids.join(held, key, "left_anti")
+    return _ids(rows, key).join(held, key, "left_anti")
+
+
+def judged(rows: DataFrame, table: str, key: str) -> DataFrame:
+    """(key, _hash, _n, _fresh) of all incoming ids: ``_fresh`` tells those that ``table`` does not hold."""
+    held = committed(rows.sparkSession, f"{table}_ids").groupBy(key).agg(F.lit(True).alias("_held"))
+    return _ids(rows, key).join(held, key, "left").select(key, "_hash", "_n", F.col("_held").isNull().alias("_fresh"))
 
 
 def stage(rows: DataFrame, table: str, load_id: str, day: str, key: str | None = None, once: bool = True) -> None:
@@ -117,16 +127,30 @@ def stage(rows: DataFrame, table: str, load_id: str, day: str, key: str | None =
 
 
 def _stage_new(rows: DataFrame, table: str, load_id: str, day: str, key: str) -> None:
+    """New ids and keyless rows.
+
+    The ids are judged first, in narrow rows.  Whole rows then meet only the smaller part of
+    them, those to take or those to leave, which Spark broadcasts as far as it is small.
+    """
     plain = rows.columns
     held = rows.withColumn("_hash", F.xxhash64(*plain)).persist(StorageLevel.MEMORY_AND_DISK)
+    ids = judged(held, table, key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = held.join(unseen(held, table, key), [key, "_hash"])
-        once = found.where("_n = 1").select(*plain)
-        repeated = dedup_events(found.where("_n > 1").select(*plain), key)
-        keyless = held.where(F.col(key).isNull()).select(*plain)
-        fresh = once.unionByName(repeated).unionByName(keyless).select("*", F.lit(load_id).alias("load_id"))
-        append(_balanced(fresh, day), f"{table}_rows")
+        take = F.col("_fresh") & (F.col("_n") == 1)
+        n_take, n_repeated, n_all = ids.agg(F.count_if(take), F.count_if(F.col("_fresh") & (F.col("_n") > 1)), F.count(F.lit(1))).first()
+        if 2 * n_take > n_all:
+            # Rows without a key match none of the ids that are left.
+            fresh = held.join(ids.where(~take).select(key), key, "left_anti").select(*plain)
+        else:
+            fresh = held.where(F.col(key).isNull()).select(*plain)
+            if n_take:
+                fresh = held.join(ids.where(take).select(key), key, "left_semi").select(*plain).unionByName(fresh)
+        if n_repeated:
+            repeated = held.join(ids.where("_fresh AND _n > 1").select(key, "_hash"), [key, "_hash"]).select(*plain)
+            fresh = fresh.unionByName(dedup_events(repeated, key))
+        append(_balanced(fresh.select("*", F.lit(load_id).alias("load_id")), day), f"{table}_rows")
     finally:
+        ids.unpersist()
         held.unpersist()
 
 

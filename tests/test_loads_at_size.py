@@ -25,3 +25,32 @@ def test_an_hours_file_is_written_from_finished_rows(spark, sf_dir, monkeypatch)
         # One task does no join, sort or parse: it is handed rows by a shuffle.
         assert "Coalesce" not in plan and "Exchange SinglePartition" in plan
         assert "Join" not in plan and "Sort" not in plan and "from_json" not in plan
+
+
+@pytest.fixture
+def table(spark):
+    name = work_dir(spark, "size").rsplit("/", 1)[1].replace("-", "_")
+    tables.ensure_schema(spark, name)
+    return f"{name}.events"
+
+
+def ids(spark, table):
+    return sorted((str(r["event_id"]), r["age"]) for r in spark.table(table).select("event_id", "age").collect())
+
+
+def test_whole_rows_are_not_shuffled_by_id_to_find_the_new_ones(spark, table, bronze_of, monkeypatch):
+    plans = []
+    append = loads.append
+    monkeypatch.setattr(loads, "append", lambda df, name: (plans.append(plan_of(df)) if name.endswith("_rows") else None, append(df, name))[1])
+    many = [{"event_id": f"a{i}"} for i in range(8)]
+    tables.load_bronze(bronze_of(*many, {"event_id": "a1", "age": 3}, {"event_id": None}, {"event_id": None}), table)
+    expected = sorted([*((f"a{i}", 20) for i in range(8) if i != 1), ("None", 20), ("None", 20)])
+    assert [r for r in ids(spark, table) if r[0] != "a1"] == expected
+    assert len([r for r in ids(spark, table) if r[0] == "a1"]) == 1
+    # Few new ids among many that are held.
+    tables.load_bronze(bronze_of(*many, {"event_id": "b"}, {"event_id": "c"}, {"event_id": "c"}, {"event_id": None}), table)
+    assert [r[0] for r in ids(spark, table)] == ["None", "None", "None", *(f"a{i}" for i in range(8)), "b", "c"]
+    # Nothing but held ids.
+    tables.load_bronze(bronze_of(*many), table)
+    assert len(ids(spark, table)) == 13
+    assert len(plans) == 3 and not any("SortMergeJoin" in p for p in plans)
