@@ -19,6 +19,9 @@ from listenlake.operators.anomalies import BOT_SECONDS, BOT_SKIPS
 
 LATENESS = "10 minutes"
 _MARK = "event_ts timestamp, event_type string"
+# States that the users of ``skip_bots`` share, and skips looked at together.
+BOT_GROUPS = 2048
+SKIPS_AT_ONCE = 200_000
 
 
 def plays_per_minute(
@@ -83,52 +86,93 @@ def unique_events(
     return marked.dropDuplicatesWithinWatermark([key])
 
 
+def _burst_ends(user: np.ndarray, moment: np.ndarray, threshold: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(user, moment) of the first burst of each user that has one; rows are sorted by both."""
+    last = np.arange(threshold - 1, len(user))
+    first = last - (threshold - 1)
+    close = last[(user[last] == user[first]) & (moment[last] - moment[first] < width)]
+    whose, at = np.unique(user[close], return_index=True)
+    return whose, moment[close][at]
+
+
 def _flag_bots(threshold: int, seconds: int):
     width = seconds * 1_000_000
 
+    def gathered(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, rows = [], 0
+        for chunk in chunks:
+            parts.append(chunk[["user_id", "moment"]])
+            rows += len(chunk)
+            if rows >= SKIPS_AT_ONCE:
+                yield pd.concat(parts, ignore_index=True)
+                parts, rows = [], 0
+        if parts:
+            yield pd.concat(parts, ignore_index=True)
+
     def flag(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, is_bot = state.get if state.exists else ([], False)
+        users, counts, times, bots = state.get if state.exists else ([], [], [], [])
         if state.hasTimedOut:
-            state.remove()
-            return
-        held = np.array(times, dtype=np.int64)
-        for chunk in chunks:
-            if is_bot:
-                continue
-            held = np.sort(np.concatenate([held, chunk["moment"].to_numpy(np.int64)]))
-            ends = held[threshold - 1 :]
-            close = np.flatnonzero(ends - held[: len(ends)] < width)
-            if len(close):
-                is_bot = True
-                yield pd.DataFrame({"user_id": [key[0]], "moment": [int(ends[close[0]])]})
-        if is_bot:
-            state.update(([], True))
+            # No window reaches the skips any more; a flag stays for good.
+            state.update(([], [], [], bots)) if bots else state.remove()
             return
+        names = np.repeat(np.array(users, dtype=object), np.array(counts, dtype=np.int64))
+        moments = np.array(times, dtype=np.int64)
+        flagged = set(bots)
+        for chunk in gathered(chunks):
+            names = np.concatenate([names, chunk["user_id"].to_numpy(dtype=object)])
+            moments = np.concatenate([moments, chunk["moment"].to_numpy(np.int64)])
+            code, known = pd.factorize(names)
+            # Users flagged before take no part; their code is looked up once.
+            free = ~np.fromiter((u in flagged for u in known), bool, len(known))[code]
+            code, moments = code[free], moments[free]
+            order = np.lexsort((moments, code))
+            code, moments = code[order], moments[order]
+            whose, ends = _burst_ends(code, moments, threshold, width)
+            if len(whose):
+                found = [known[c] for c in whose]
+                flagged.update(found)
+                yield pd.DataFrame({"user_id": found, "moment": ends})
+                stay = ~np.isin(code, whose)
+                code, moments = code[stay], moments[stay]
+            names = np.asarray(known, dtype=object)[code]
         # What still comes is not older than the watermark, so a window reaches back no farther.
-        oldest = state.getCurrentWatermarkMs() * 1000 - width
-        state.update((held[held > oldest].tolist(), False))
-        state.setTimeoutTimestamp(max(int(held[-1]) // 1000 + seconds * 1000, state.getCurrentWatermarkMs() + 1))
+        mark = state.getCurrentWatermarkMs()
+        late = moments > mark * 1000 - width
+        names, moments = names[late], moments[late]
+        start = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else np.empty(0, np.int64)
+        held = (names[start].tolist(), np.diff(np.r_[start, len(names)]).tolist(), moments.tolist(), sorted(flagged))
+        if not len(names) and not flagged:
+            state.remove()
+            return
+        state.update(held)
+        if len(moments):
+            state.setTimeoutTimestamp(max(int(moments.max()) // 1000 + seconds * 1000, mark + 1))
 
     return flag
 
 
 def skip_bots(
-    silver: DataFrame, threshold: int = BOT_SKIPS, seconds: int = BOT_SECONDS, lateness: str = LATENESS
+    silver: DataFrame, threshold: int = BOT_SKIPS, seconds: int = BOT_SECONDS, lateness: str = LATENESS,
+    groups: int = BOT_GROUPS,
 ) -> DataFrame:
     """Users with ``threshold`` skips in less than ``seconds``, each once: (user_id, flagged_at).
 
     Every window position counts, also across micro-batches and for skips that arrive out of
-    order within the watermark.  A user's state holds the skip times that a window may still
-    reach, fewer than ``threshold`` per window, or no more than the flag.  A user's rows pass
-    by in bounded chunks.
+    order within the watermark.  Users are dealt by hash to ``groups`` states, so the cost of a
+    call is shared by many users; a state holds the skip times of its users that a window may
+    still reach, and its flags.  The rows of a group pass by in bounded chunks.
     """
     skipped = (
         silver.filter((F.col("event_type") == "skip") & F.col("user_id").isNotNull())
         .withWatermark("event_ts", lateness)
-        .select("user_id", "event_ts", F.unix_micros("event_ts").alias("moment"))
+        .select(
+            "user_id", "event_ts", F.unix_micros("event_ts").alias("moment"),
+            F.pmod(F.xxhash64("user_id"), F.lit(groups)).alias("_group"),
+        )
     )
-    flagged = skipped.groupBy("user_id").applyInPandasWithState(
-        _flag_bots(threshold, seconds), "user_id string, moment long", "times array<long>, is_bot boolean",
+    flagged = skipped.groupBy("_group").applyInPandasWithState(
+        _flag_bots(threshold, seconds), "user_id string, moment long",
+        "users array<string>, counts array<long>, times array<long>, bots array<string>",
         "append", GroupStateTimeout.EventTimeTimeout,
     )
     return flagged.select("user_id", F.timestamp_micros("moment").alias("flagged_at"))

@@ -54,3 +54,21 @@ def test_whole_rows_are_not_shuffled_by_id_to_find_the_new_ones(spark, table, br
     tables.load_bronze(bronze_of(*many), table)
     assert len(ids(spark, table)) == 13
     assert len(plans) == 3 and not any("SortMergeJoin" in p for p in plans)
+
+
+def test_users_of_a_stream_share_states(spark, tmp_path):
+    rows = [(f"u{u}", "skip", f"2024-01-01 00:00:{s:02d}") for u in range(40) for s in range(20 if u % 4 == 0 else 19)]
+    events = spark.createDataFrame(rows, "user_id string, event_type string, at string").selectExpr("user_id", "event_type", "cast(at as timestamp) event_ts")
+    events.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = (
+        windows.skip_bots(stream, lateness="1 day", groups=3).writeStream.format("parquet")
+        .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r["user_id"] for r in got) == sorted(f"u{u}" for u in range(0, 40, 4))
+    assert {r["flagged_at"].second for r in got} == {19}
+    # One state per group of users, not one per user.
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 3
