@@ -22,6 +22,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,8 @@ WORDS, BUCKETS, DIM, HIDDEN = 4000, 4096, 16, 8
 ROUNDS, STEPS, BATCH, RATE = 3, 130, 32, 0.01
 # Windows scored at a time, and words whose inputs a task remembers.
 CHUNK, CACHE_WORDS = 2048, 200_000
+# Windows read in one pass when texts are scored: their steps stay in a core's own memory.
+READ_ROWS = 128
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -44,9 +48,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
+@lru_cache(1 << 17)
+def _bucket(gram: str) -> int:
+    return zlib.crc32(gram.encode()) % BUCKETS
+
+
 def trigrams(word: str) -> list[int]:
     marked = f"^{word}$"
-    return [zlib.crc32(marked[i : i + 3].encode()) % BUCKETS for i in range(max(1, len(marked) - 2))]
+    return [_bucket(marked[i : i + 3]) for i in range(max(1, len(marked) - 2))]
 
 
 def windows_of(words: list[str]) -> list[list[str]]:
@@ -186,16 +195,94 @@ class Network:
             out[at : at + CHUNK] = self.forward(x, mask)
         return out
 
-    def scores(self, texts: list[str], cache: dict[str, np.ndarray]) -> np.ndarray:
-        cut = [windows_of(_WORD.findall(t.lower())) for t in texts]
-        logits = self.logits([w for c in cut for w in c], cache)
-        out, at = np.zeros(len(texts)), 0
-        for i, c in enumerate(cut):
-            if c:
-                out[i] = _sigmoid(np.float64(logits[at : at + len(c)].max()) - self.shift)
-            at += len(c)
+    def gates(self, words: list[str]) -> np.ndarray:
+        """(word, side, gate inputs) of words: what the recurrence adds to its own part."""
+        grams = [trigrams(w) for w in words]
+        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+        flat = np.fromiter(chain.from_iterable(grams), np.int64, sizes.sum())
+        chars = np.add.reduceat(self.p["char"][flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None].astype(np.float32)
+        x = self.p["word"][[self.ids.get(w, 0) for w in words]] + chars
+        return np.stack([x @ self.p["W" + s] + self.p["c" + s] for s in "fb"], axis=1)
+
+    def scores(self, texts: list[str], cache: dict) -> np.ndarray:
+        """Scores of texts; ``cache`` has words by place in a table of gate inputs, held under None."""
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
+        table = cache.pop(None, np.empty((0, 2, 3 * HIDDEN), np.float32))
+        cut = [_WORD.findall(t.lower()) for t in texts]
+        fresh = list(set(chain.from_iterable(cut)).difference(cache))
+        size = len(cache)
+        if size + len(fresh) > len(table):
+            table = np.concatenate([table[:size], np.empty((max(size, 1024) + len(fresh), 2, 3 * HIDDEN), np.float32)])
+        if fresh:
+            table[size : size + len(fresh)] = self.gates(fresh)
+            cache.update(zip(fresh, range(size, size + len(fresh))))
+        out, long, of = np.zeros(len(texts)), [], []
+        for i, words in enumerate(cut):
+            n = len(words)
+            if not n:
+                continue
+            places = np.fromiter(map(cache.__getitem__, words), np.int64, n)
+            if n < WINDOW:
+                out[i] = _sigmoid(np.float64(self.read(table, places[None])[0]) - self.shift)
+                continue
+            last = n - WINDOW
+            starts = np.r_[np.arange(0, last, STRIDE), last]
+            long.append(places[starts[:, None] + np.arange(WINDOW)])
+            of.append(i)
+        if long:
+            rows = np.concatenate(long)
+            logits = np.concatenate([self.read(table, rows[at : at + READ_ROWS]) for at in range(0, len(rows), READ_ROWS)])
+            begin = np.cumsum([0, *map(len, long)])[:-1]
+            out[of] = _sigmoid(np.maximum.reduceat(logits, begin).astype(np.float64) - self.shift)
+        cache[None] = table
         return out
 
+    def read(self, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Logits of windows that are equally long, given as places in ``table``.
+
+        The same network as ``forward``.  Both sides advance in one step, the backward one from
+        the end; rows are laid out by step, columns by gate, side and unit.
+        """
+        b, t = rows.shape
+        h2 = 2 * HIDDEN
+        by_step = rows.T
+        a = np.empty((t, b, 3, 2, HIDDEN), np.float32)
+        a[:, :, :, 0] = table[by_step, 0].reshape(t, b, 3, HIDDEN)
+        a[:, :, :, 1] = table[by_step[::-1], 1].reshape(t, b, 3, HIDDEN)
+        a = a.reshape(t, b, 3 * h2)
+        own = np.zeros((2, HIDDEN, 3, 2, HIDDEN), np.float32)
+        for side, s in enumerate("fb"):
+            own[side, :, :, side] = self.p["U" + s].reshape(HIDDEN, 3, HIDDEN)
+        own = own.reshape(h2, 3 * h2)
+        h = np.zeros((b, h2), np.float32)
+        both = np.empty((t, b, h2), np.float32)
+        for i in range(t):
+            u = h @ own
+            zr = a[i, :, : 2 * h2]
+            zr += u[:, : 2 * h2]
+            zr *= 0.5
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            n = u[:, 2 * h2 :]
+            n *= zr[:, h2:]
+            n += a[i, :, 2 * h2 :]
+            np.tanh(n, out=n)
+            z = zr[:, :h2]
+            h *= z
+            h += (1 - z) * n
+            both[i, :, :HIDDEN] = h[:, :HIDDEN]
+            both[t - 1 - i, :, HIDDEN:] = h[:, HIDDEN:]
+        flat = both.reshape(t * b, h2)
+        # Summed in the order of ``forward``, whose windows are filled up to WINDOW.
+        e = np.full((b, WINDOW), -1e9, np.float32)
+        e[:, :t] = (np.tanh(flat @ self.p["att"]) @ self.p["v"]).reshape(t, b).T
+        w = np.exp(e - e.max(axis=1, keepdims=True))
+        w /= w.sum(axis=1, keepdims=True)
+        pooled = (w.T[:t, :, None] * both).sum(axis=0)
+        return pooled @ self.p["out"] + self.p["bias"]
+
 
 def fit(texts: list[str], labels: list[int], seed: int = 7) -> Network | None:
     """A network fitted to a bounded sample; none without rows of both labels."""
