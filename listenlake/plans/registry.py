@@ -232,6 +232,12 @@ def _bronze_schema(spark: SparkSession, label: str) -> str:
     return name
 
 
+def _bronze_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze laid out by event day, as refreshes expect it."""
+    dated = _bronze(spark, sf_dir).withColumn("event_date", tables.day_of(F.col("timestamp")))
+    return _kept(dated, "bronze-days", "event_date")
+
+
 @_register
 def bronze_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load events that partly come twice, and load them again: each id stays once."""
@@ -441,11 +447,11 @@ def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_after_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lake is built, then two jobs over dirty events fail their checks: what was published stays."""
     schema, lake = _bronze_schema(spark, "published"), work_dir(spark, "lake")
-    medallion.build_lake(spark, _bronze(spark, sf_dir), lake, schema, AS_OF, as_tables=True)
-    dirty = testdata.with_foreign_types(testdata.with_copies(_bronze(spark, sf_dir)))
-    dated = dirty.withColumn("event_date", tables.day_of(F.col("timestamp")))
+    bronze = _bronze_days(spark, sf_dir)
+    medallion.build_lake(spark, bronze.drop("event_date"), lake, schema, AS_OF, as_tables=True)
+    dated = testdata.with_foreign_types(testdata.with_copies(bronze))
     for job in (
-        lambda: medallion.build_lake(spark, dirty, lake, schema, AS_OF, as_tables=True),
+        lambda: medallion.build_lake(spark, dated.drop("event_date"), lake, schema, AS_OF, as_tables=True),
         lambda: medallion.refresh_days(
             spark, dated, "2024-01-10", "2024-01-20", lake, f"{lake}/rollups", AS_OF, gold_schema=schema
         ),
@@ -465,7 +471,7 @@ def refresh_emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lake refreshed in two steps, then once more for days of which one has lost all events
     and another half of them: (event_date, events, plays) from silver and from a mart."""
     schema, lake = _bronze_schema(spark, "emptied"), work_dir(spark, "lake")
-    dated = _bronze(spark, sf_dir).withColumn("event_date", tables.day_of(F.col("timestamp")))
+    dated = _bronze_days(spark, sf_dir)
     day = F.col("event_date")
     corrected = dated.where((day != "2024-01-12") & ((day != "2024-01-13") | (F.col("event_id").cast("bigint") % 2 == 0)))
     for rows, first, last in ((dated, "2024-01-01", "2024-01-15"), (dated, "2024-01-14", "2024-02-29"), (corrected, "2024-01-11", "2024-01-13")):

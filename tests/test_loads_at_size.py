@@ -56,6 +56,20 @@ def test_whole_rows_are_not_shuffled_by_id_to_find_the_new_ones(spark, table, br
     assert len(plans) == 3 and not any("SortMergeJoin" in p for p in plans)
 
 
+def test_builds_and_refreshes_read_bronze_from_files(spark, sf_dir, monkeypatch):
+    given = []
+    build, refresh = medallion.build_lake, medallion.refresh_days
+    monkeypatch.setattr(medallion, "build_lake", lambda s, bronze, *a, **k: (given.append(bronze), build(s, bronze, *a, **k))[1])
+    monkeypatch.setattr(medallion, "refresh_days", lambda s, bronze, *a, **k: (given.append(bronze), refresh(s, bronze, *a, **k))[1])
+    registry.queries()["publish_after_gate"](spark, sf_dir)
+    registry.queries()["refresh_emptied_day"](spark, sf_dir)
+    assert len(given) == 6
+    for bronze in given:
+        assert "Join" not in plan_of(bronze)
+    for dated in given[2:]:
+        assert "PartitionFilters: [isnotnull(event_date" in plan_of(dated.where("event_date = date'2024-01-14'"))
+
+
 def test_users_of_a_stream_share_states(spark, tmp_path):
     rows = [(f"u{u}", "skip", f"2024-01-01 00:00:{s:02d}") for u in range(40) for s in range(20 if u % 4 == 0 else 19)]
     events = spark.createDataFrame(rows, "user_id string, event_type string, at string").selectExpr("user_id", "event_type", "cast(at as timestamp) event_ts")
