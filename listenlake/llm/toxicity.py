@@ -20,10 +20,10 @@ from __future__ import annotations
 import pickle
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -40,7 +40,7 @@ ROUNDS, STEPS, BATCH, RATE = 3, 130, 32, 0.01
 # Windows scored at a time, and words whose inputs a task remembers.
 CHUNK, CACHE_WORDS = 2048, 200_000
 # Windows read in one pass when texts are scored: their steps stay in a core's own memory.
-READ_ROWS = 128
+READ_ROWS = 256
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -53,11 +53,35 @@ def _bucket(gram: str) -> int:
     return zlib.crc32(gram.encode()) % BUCKETS
 
 
+# The checksum of three ASCII letters is the exclusive or of one value per place.
+_CRC = np.array([[zlib.crc32(bytes(i) + bytes([x]) + bytes(2 - i)) for x in range(128)] for i in range(3)])
+_CRC[1:] ^= zlib.crc32(bytes(3))
+
+
 def trigrams(word: str) -> list[int]:
     marked = f"^{word}$"
     return [_bucket(marked[i : i + 3]) for i in range(max(1, len(marked) - 2))]
 
 
+def _buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of words in a row, and how many each has."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    letters = np.frombuffer("".join([f"^{w}$" for w in words]).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    begins = np.ones(len(letters), bool)
+    ends = np.cumsum(sizes + 2)
+    begins[ends - 1] = begins[ends - 2] = False
+    at = np.flatnonzero(begins)
+    a, b, c = letters[at], letters[at + 1], letters[at + 2]
+    plain = (a | b | c) < 128
+    out = np.empty(len(at), np.int64)
+    out[plain] = (_CRC[0, a[plain]] ^ _CRC[1, b[plain]] ^ _CRC[2, c[plain]]) % BUCKETS
+    other = ~plain
+    grams, of = np.unique(a[other] << 42 | b[other] << 21 | c[other], return_inverse=True)
+    low = (1 << 21) - 1
+    out[other] = np.array([_bucket(chr(g >> 42) + chr(g >> 21 & low) + chr(g & low)) for g in grams.tolist()], np.int64)[of]
+    return out, sizes
+
+
 def windows_of(words: list[str]) -> list[list[str]]:
     last = max(0, len(words) - WINDOW)
     starts = [*range(0, last, STRIDE), last]
@@ -196,84 +220,84 @@ class Network:
         return out
 
     def gates(self, words: list[str]) -> np.ndarray:
-        """(word, side, gate inputs) of words: what the recurrence adds to its own part."""
-        grams = [trigrams(w) for w in words]
-        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
-        flat = np.fromiter(chain.from_iterable(grams), np.int64, sizes.sum())
+        """(word, gate, side, unit): what words add to the recurrence, halved where a sigmoid follows."""
+        flat, sizes = _buckets(words)
         chars = np.add.reduceat(self.p["char"][flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None].astype(np.float32)
         x = self.p["word"][[self.ids.get(w, 0) for w in words]] + chars
-        return np.stack([x @ self.p["W" + s] + self.p["c" + s] for s in "fb"], axis=1)
-
-    def scores(self, texts: list[str], cache: dict) -> np.ndarray:
-        """Scores of texts; ``cache`` has words by place in a table of gate inputs, held under None."""
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        table = cache.pop(None, np.empty((0, 2, 3 * HIDDEN), np.float32))
+        found = np.stack([(x @ self.p["W" + s] + self.p["c" + s]).reshape(-1, 3, HIDDEN) for s in "fb"], axis=2)
+        found[:, :2] *= 0.5
+        return found.reshape(len(words), 6 * HIDDEN)
+
+    def scores(self, texts: list[str], memory: dict) -> np.ndarray:
+        """Scores of texts; ``memory`` keeps the places of words in a table of gate inputs."""
+        if len(memory.get("places", ())) > CACHE_WORDS:
+            memory.clear()
+        # A word that is looked up for the first time gets the next place.
+        places = memory.setdefault("places", defaultdict(count().__next__))
+        table = memory.get("table", np.empty((0, 6 * HIDDEN), np.float32))
+        size = len(places)
         cut = [_WORD.findall(t.lower()) for t in texts]
-        fresh = list(set(chain.from_iterable(cut)).difference(cache))
-        size = len(cache)
-        if size + len(fresh) > len(table):
-            table = np.concatenate([table[:size], np.empty((max(size, 1024) + len(fresh), 2, 3 * HIDDEN), np.float32)])
-        if fresh:
-            table[size : size + len(fresh)] = self.gates(fresh)
-            cache.update(zip(fresh, range(size, size + len(fresh))))
-        out, long, of = np.zeros(len(texts)), [], []
-        for i, words in enumerate(cut):
-            n = len(words)
-            if not n:
-                continue
-            places = np.fromiter(map(cache.__getitem__, words), np.int64, n)
-            if n < WINDOW:
-                out[i] = _sigmoid(np.float64(self.read(table, places[None])[0]) - self.shift)
-                continue
-            last = n - WINDOW
-            starts = np.r_[np.arange(0, last, STRIDE), last]
-            long.append(places[starts[:, None] + np.arange(WINDOW)])
-            of.append(i)
+        words = np.fromiter(map(places.__getitem__, chain.from_iterable(cut)), np.int64)
+        if fresh := list(islice(reversed(places), len(places) - size))[::-1]:
+            if len(places) > len(table):
+                table = np.concatenate([table[:size], np.empty((max(size, 1024) + len(fresh), 6 * HIDDEN), np.float32)])
+            table[size : len(places)] = self.gates(fresh)
+            memory["table"] = table
+        out, long, of, at = np.zeros(len(texts)), [], [], 0
+        for i, n in enumerate(map(len, cut)):
+            if n >= WINDOW:
+                last = at + n - WINDOW
+                long.append(np.r_[at:last:STRIDE, last])
+                of.append(i)
+            elif n:
+                out[i] = _sigmoid(np.float64(self.read(table, words[at : at + n, None])[0]) - self.shift)
+            at += n
         if long:
-            rows = np.concatenate(long)
-            logits = np.concatenate([self.read(table, rows[at : at + READ_ROWS]) for at in range(0, len(rows), READ_ROWS)])
+            starts, steps = np.concatenate(long), np.arange(WINDOW)[:, None]
+            logits = np.concatenate([self.read(table, words[steps + starts[r : r + READ_ROWS]]) for r in range(0, len(starts), READ_ROWS)])
             begin = np.cumsum([0, *map(len, long)])[:-1]
             out[of] = _sigmoid(np.maximum.reduceat(logits, begin).astype(np.float64) - self.shift)
-        cache[None] = table
         return out
 
-    def read(self, table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Logits of windows that are equally long, given as places in ``table``.
+    def read(self, table: np.ndarray, by_step: np.ndarray) -> np.ndarray:
+        """Logits of windows that are equally long, given by step as places in ``table``.
 
         The same network as ``forward``.  Both sides advance in one step, the backward one from
-        the end; rows are laid out by step, columns by gate, side and unit.
+        the end.  Rows are laid out by gate, side and unit, columns by window, so that every
+        operation of a step runs over one stretch of memory.
         """
-        b, t = rows.shape
+        t, b = by_step.shape
         h2 = 2 * HIDDEN
-        by_step = rows.T
-        a = np.empty((t, b, 3, 2, HIDDEN), np.float32)
-        a[:, :, :, 0] = table[by_step, 0].reshape(t, b, 3, HIDDEN)
-        a[:, :, :, 1] = table[by_step[::-1], 1].reshape(t, b, 3, HIDDEN)
-        a = a.reshape(t, b, 3 * h2)
+        found = table.take(by_step, axis=0).reshape(t, b, 3, 2, HIDDEN)
+        a = np.empty((t, 3, 2, HIDDEN, b), np.float32)
+        a[:, :, 0] = found[:, :, :, 0].transpose(0, 2, 3, 1)
+        a[:, :, 1] = found[::-1, :, :, 1].transpose(0, 2, 3, 1)
+        a = a.reshape(t, 3 * h2, b)
         own = np.zeros((2, HIDDEN, 3, 2, HIDDEN), np.float32)
         for side, s in enumerate("fb"):
             own[side, :, :, side] = self.p["U" + s].reshape(HIDDEN, 3, HIDDEN)
+        own[:, :, :2] *= 0.5
         own = own.reshape(h2, 3 * h2)
-        h = np.zeros((b, h2), np.float32)
-        both = np.empty((t, b, h2), np.float32)
+        h = np.zeros((h2, b), np.float32)
+        u = np.empty((3 * h2, b), np.float32)
+        both = np.empty((t, h2, b), np.float32)
         for i in range(t):
-            u = h @ own
-            zr = a[i, :, : 2 * h2]
-            zr += u[:, : 2 * h2]
-            zr *= 0.5
+            np.matmul(h.T, own, out=u.T)
+            zr = a[i, : 2 * h2]
+            zr += u[: 2 * h2]
             np.tanh(zr, out=zr)
             zr += 1
             zr *= 0.5
-            n = u[:, 2 * h2 :]
-            n *= zr[:, h2:]
-            n += a[i, :, 2 * h2 :]
+            n = u[2 * h2 :]
+            n *= zr[h2:]
+            n += a[i, 2 * h2 :]
             np.tanh(n, out=n)
-            z = zr[:, :h2]
-            h *= z
-            h += (1 - z) * n
-            both[i, :, :HIDDEN] = h[:, :HIDDEN]
-            both[t - 1 - i, :, HIDDEN:] = h[:, HIDDEN:]
+            z = zr[:h2]
+            h = np.multiply(h, z, out=both[i])
+            n *= np.subtract(1, z, out=z)
+            h += n
+        both[:, HIDDEN:] = both[::-1, HIDDEN:]
+        both = np.ascontiguousarray(both.transpose(0, 2, 1))
         flat = both.reshape(t * b, h2)
         # Summed in the order of ``forward``, whose windows are filled up to WINDOW.
         e = np.full((b, WINDOW), -1e9, np.float32)
