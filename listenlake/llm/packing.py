@@ -23,11 +23,14 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from codecs import charmap_decode
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,8 +44,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 GROUP_TAILS = 2048
 # Characters encoded at a time.
 BATCH_CHARS = 1 << 20
-# Chunks and pieces whose ids a worker remembers.
-MEMO_CHUNKS, MEMO_PIECES = 250_000, 300_000
+# Chunks and other pieces whose ids a worker remembers, and as many that it met before those.
+MEMO_CHUNKS, MEMO_PIECES = 250_000, 100_000
 _CHUNK = re.compile(r"[^ \t\n\r]+")
 # The rules of the tokenizer file by which texts fall into pieces.
 _RULES = {
@@ -55,10 +58,14 @@ _RULES = {
 }
 # The same rules for printable ASCII and the Latin-1 letters, which NFC leaves alone.
 _PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_PLAIN_TEXT = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff \t\n\r]*")
+# A piece ends between a letter and a mark, so a space there changes no ids; an apostrophe may begin one of both.
+_WORD_END = "([a-z\u00df-\u00f6\u00f8-\u00ff])([!-&(-/:-@\\[-`{-~])"
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 # The tokenizer spells a byte as the letter of its number if that prints, else as one from 256 on.
 _PRINTS = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTS)}
+_SPELLING = "".join(chr(_BYTE_LETTERS.get(b, b)) for b in range(256))
 
 _CUT = "doc_id long, start long, doc_tokens long, length long, ids_crc32 long, tail binary, salt long"
 _PIECE = (
@@ -66,12 +73,35 @@ _PIECE = (
 )
 
 
+class Memory(dict):
+    """Ids of what was met lately; ``make`` gives those of anything else.
+
+    A full memory is set aside: what is met again returns from there, the rest goes when the
+    next one is full.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        made = self.before.get(key)
+        if made is None:
+            made = self.make(key)
+        self[key] = made
+        return made
+
+
 class Encoder:
     """Ids of texts, by a tokenizer that never joins across white space.
 
     A text's ids are those of its space-separated chunks in a row, so the ids of a chunk are
-    remembered and only new ones reach the tokenizer.  A new chunk of plain characters falls
-    into the pre-tokenizer's own pieces, which repeat more often still.  A text that names
+    remembered and only new ones reach the tokenizer.  In texts of plain characters, words are
+    parted from the marks behind them first, and a new chunk falls into the pre-tokenizer's own
+    pieces, which repeat more often still.  A text that names
     one of the tokenizer's special tokens, and any text of a tokenizer with other rules, is
     encoded whole.
     """
@@ -81,48 +111,67 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         rules = json.loads(self.tokenizer.to_str())
         # Texts are taken apart here only if the file states the rules that _CHUNK and _PIECES follow.
         self.known_rules = all(rules[k] == v for k, v in _RULES.items())
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Memory(self._piece, MEMO_PIECES)
+        # Plain chunks stand in lower case.
+        self.chunks = Memory(self._chunk, MEMO_CHUNKS)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _piece(self, piece: str) -> bytes:
-        spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        ids = [t.id for t in self.tokenizer.model.tokenize(spelt)]
-        made = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        return made
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Remember the ids of new chunks."""
-        pieces, other = self.pieces, []
-        for chunk in chunks:
-            if _PLAIN.fullmatch(chunk):
-                parts = _PIECES.findall(chunk.lower())
-                self.chunks[chunk] = b"".join([pieces.get(p) or self._piece(p) for p in parts])
-            else:
-                other.append(chunk)
-        if other:
-            self.chunks.update(zip(other, self._whole(other)))
+        spelt = piece if piece.isascii() else charmap_decode(piece.encode(), "strict", _SPELLING)[0]
+        ids = [t.id for t in self.model.tokenize(spelt)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self._piece(chunk)
+        words, rest = self.chunks, self.pieces
+        return b"".join([words[p] if p.isalpha() else rest[p] for p in _PIECES.findall(chunk)])
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of plain characters: each distinct chunk is looked up once."""
+        parted = pc.replace_substring_regex(pa.array([t.lower() for t in texts], pa.large_string()), _WORD_END, r"\1 \2")
+        split = pc.ascii_split_whitespace(parted)
+        coded = split.values.dictionary_encode()
+        known = self.chunks
+        found = [known[c] for c in coded.dictionary.to_numpy(zero_copy_only=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        # Every chunk's ids are copied from where its text stands first among the distinct ones.
+        order = coded.indices.to_numpy()
+        ends = np.r_[0, np.cumsum(sizes[order])]
+        from_ = np.repeat((np.cumsum(sizes) - sizes)[order] - ends[:-1], sizes[order])
+        from_ += np.arange(len(from_))
+        raw = ids[from_].tobytes()
+        cuts = (4 * ends[split.offsets.to_numpy()]).tolist()
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        whole = [i for i, t in enumerate(texts) if not self.known_rules or any(s in t for s in self.special)]
+        plain, other, whole = [], [], []
+        for i, text in enumerate(texts):
+            if not self.known_rules or any(s in text for s in self.special):
+                whole.append(i)
+            elif _PLAIN_TEXT.fullmatch(text):
+                plain.append(i)
+            else:
+                other.append(i)
         out = dict(zip(whole, self._whole([texts[i] for i in whole])))
-        split = {i: _CHUNK.findall(t) for i, t in enumerate(texts) if i not in out}
-        # A full memory starts anew; what is frequent soon stands in it again.
-        for memory, most in ((self.chunks, MEMO_CHUNKS), (self.pieces, MEMO_PIECES)):
-            if len(memory) > most:
-                memory.clear()
+        out |= zip(plain, self._plain([texts[i] for i in plain]))
+        # Chunks of other characters reach the tokenizer together, once for these texts.
         known = self.chunks
-        self._learn(list(set().union(*split.values()).difference(known)))
+        split = {i: [c.lower() if _PLAIN.fullmatch(c) else c for c in _CHUNK.findall(texts[i])] for i in other}
+        odd = [c for c in set().union(*split.values()) if not _PLAIN.fullmatch(c)]
+        ids_of = dict(zip(odd, self._whole(odd)))
         for i, chunks in split.items():
-            out[i] = b"".join([known[c] for c in chunks])
+            out[i] = b"".join([ids_of[c] if c in ids_of else known[c] for c in chunks])
         return [out[i] for i in range(len(texts))]
 
 
